@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -19,16 +20,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """``df`` written to the shared checkpoint folder, with its lineage cut.
+def shared_folder(spark: SparkSession) -> str:
+    """The session's ``spark.checkpoint.dir``; only where it is unset (single-machine tests) a temporary folder."""
+    global _temporary
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not named:
+        _temporary = _temporary or tempfile.mkdtemp(prefix="tidemark-")
+    return named or _temporary
 
-    The folder is the session's ``spark.checkpoint.dir``; only where that is
-    unset (single-machine tests) a temporary one is made.
-    """
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="tidemark-ckpt-"))
-    return df.checkpoint(eager=True)
+
+_temporary: str | None = None
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` written as a table to the shared folder and read again: its lineage is cut, and it survives lost executors."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/tidemark-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def remainder(key: str, modulus: int) -> Column:
