@@ -4,8 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import aggregates as A
-from tidemark.operators import graph, joins, ordered, raster
-from tidemark.sources import tables
+from tidemark.operators import fits, graph, joins, merging, ordered, raster
+from tidemark.sources import stages, tables
 from tidemark.streaming import ordered_stream
 
 
@@ -72,3 +72,71 @@ def test_streams(spark, tmp_path):
         q.awaitTermination(60)
     assert {(r.bin, r.n) for r in spark.table("h").collect()} == {(0, 2), (4, 1)}
     assert [r.n for r in spark.table("s").collect()] == [2]
+
+
+def test_alignment_recovers_turn_and_shift(spark):
+    import math
+
+    pts = [(i, float(i % 7) * 3 + (i // 7) * 0.3, float(i // 7) * 3, float(i % 3)) for i in range(42)]
+    a = math.radians(0.8)
+    ref = [(i, math.cos(a) * x - math.sin(a) * y + 0.3, math.sin(a) * x + math.cos(a) * y - 0.2, z + 0.5) for i, x, y, z in pts]
+    found = fits.aligned(spark.createDataFrame(pts, "id int, x double, y double, z double"), spark.createDataFrame(ref, "rid int, cx double, cy double, cz double"), 1.2)
+    assert found["pairs"] == 42
+    assert [round(found[k], 6) for k in ("yaw", "dx", "dy", "dz")] == [0.8, 0.3, -0.2, 0.5]
+
+
+def test_pose_graph_with_an_anchor(spark):
+    pairs = spark.createDataFrame([(1, 2, 1.0, 1.0), (2, 3, 2.0, 1.0), (1, 3, 3.0, 5.0)], "a int, b int, d double, w double")
+    got = fits.solved_graph(pairs, spark.createDataFrame([(1, 10.0, 1.0)], "a int, d double, w double"))
+    assert {k: round(v, 6) for k, v in got.items()} == {1: 10.0, 2: 11.0, 3: 13.0}
+
+
+def test_fourier_fit_returns_the_coefficients(spark):
+    import math
+
+    rows = [(1, float(a), 2 + 3 * math.cos(math.radians(a)) - math.sin(math.radians(2 * a))) for a in range(0, 360, 5)]
+    got = fits.fourier(spark.createDataFrame(rows, "k int, a double, y double"), "a", "y", ["k"]).first()
+    assert [round(c, 6) for c in got.coefficients] == [2.0, 3.0, 0.0, 0.0, -1.0]
+    assert abs(got.r2 - 1) < 1e-9
+
+
+def test_ciede2000_published_pairs(spark):
+    from tidemark.functions import scalars
+
+    rows = [(50.0, 2.6772, -79.7751, 50.0, 0.0, -82.7485, 2.0425), (50.0, -1.0, 2.0, 50.0, 0.0, 0.0, 2.3669), (2.0776, 0.0795, -1.1350, 0.9033, -0.0636, -0.5514, 0.9082)]
+    df = spark.createDataFrame(rows, "l double, a double, b double, m double, c double, d double, want double")
+    c = [F.col(x) for x in "labmcd"]
+    assert all(abs(r.de - r.want) < 1e-4 for r in df.select(scalars.ciede2000(tuple(c[:3]), tuple(c[3:])).alias("de"), "want").collect())
+
+
+def test_labels_must_cover_the_merge(spark):
+    base = spark.createDataFrame([(1, "a"), (2, "b")], "k int, colour string")
+    labels = spark.createDataFrame([(1, 5)], "k int, label int")
+    with pytest.raises(merging.MissingRows):
+        merging.merged(base, "k", None, labels, None)
+    got = merging.merged(base.where("k = 1"), "k", None, labels, None).first()
+    assert (got.colour, got.fallback, got.label, got.cluster) == ("a", True, 5, -1)
+
+
+def test_stage_runs_once_for_the_same_inputs(spark, tmp_path):
+    made = []
+
+    def make():
+        made.append(1)
+        return spark.range(3)
+
+    for inputs, expected in (({"a": 1, "b": 2}, True), ({"b": 2, "a": 1}, False), ({"a": 2}, True)):
+        table, new = stages.run_stage(spark, str(tmp_path), "one", inputs, make)
+        assert (new, table.count()) == (expected, 3)
+    assert len(made) == 2
+    assert stages.select_stages(["a", "b", "c"], first="b") == ["b", "c"]
+    assert stages.select_stages(["a", "b", "c"], only=["c", "a"]) == ["a", "c"]
+    with pytest.raises(ValueError):
+        stages.select_stages(["a"], only=["x"])
+
+
+def test_uphill_follows_a_long_ridge(spark):
+    cells = spark.createDataFrame([(0, j, float(j)) for j in range(20)], "i long, j long, value double")
+    got = raster.uphill(cells, graph.cut).collect()
+    assert len(got) == 20
+    assert {(r.pi, r.pj) for r in got} == {(0, 19)}

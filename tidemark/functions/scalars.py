@@ -67,3 +67,26 @@ def visible(r: Column, depth: Column) -> Column:
 
 def distance_score(r: Column, reach: float = 8.0) -> Column:
     return 1.0 / (1.0 + (r / reach) * (r / reach))
+
+
+def ciede2000(a: tuple[Column, Column, Column], b: tuple[Column, Column, Column]) -> Column:
+    """Colour difference of two CIELAB colours by CIEDE2000 with unit weights."""
+    chroma = lambda p, q: F.sqrt(p * p + q * q)
+    seventh = lambda c: F.pow(c, F.lit(7.0))
+    mean = (chroma(a[1], a[2]) + chroma(b[1], b[2])) / 2.0
+    g = 0.5 * (1.0 - F.sqrt(seventh(mean) / (seventh(mean) + 25.0**7)))
+    a1, b1 = (1.0 + g) * a[1], (1.0 + g) * b[1]
+    c1, c2 = chroma(a1, a[2]), chroma(b1, b[2])
+    hue = lambda p, q: F.when((p == 0) & (q == 0), 0.0).otherwise(F.pmod(F.degrees(F.atan2(q, p)), F.lit(360.0)))
+    h1, h2, grey = hue(a1, a[2]), hue(b1, b[2]), c1 * c2 == 0
+    turn = F.when(grey, 0.0).when(h2 - h1 > 180, h2 - h1 - 360.0).when(h2 - h1 < -180, h2 - h1 + 360.0).otherwise(h2 - h1)
+    dl, dc, dh = b[0] - a[0], c2 - c1, 2.0 * F.sqrt(c1 * c2) * F.sin(F.radians(turn / 2.0))
+    lm, cm = (a[0] + b[0]) / 2.0, (c1 + c2) / 2.0
+    hm = F.when(grey, h1 + h2).when(F.abs(h1 - h2) <= 180, (h1 + h2) / 2.0).when(h1 + h2 < 360, (h1 + h2 + 360.0) / 2.0).otherwise((h1 + h2 - 360.0) / 2.0)
+    wave = lambda k, off: F.cos(F.radians(k * hm + off))
+    t = 1.0 - 0.17 * wave(1.0, -30.0) + 0.24 * wave(2.0, 0.0) + 0.32 * wave(3.0, 6.0) - 0.20 * wave(4.0, -63.0)
+    bend = 30.0 * F.exp(-((hm - 275.0) / 25.0) * ((hm - 275.0) / 25.0))
+    sl = 1.0 + 0.015 * (lm - 50.0) * (lm - 50.0) / F.sqrt(20.0 + (lm - 50.0) * (lm - 50.0))
+    sc, sh = 1.0 + 0.045 * cm, 1.0 + 0.015 * cm * t
+    rt = -2.0 * F.sqrt(seventh(cm) / (seventh(cm) + 25.0**7)) * F.sin(F.radians(2.0 * bend))
+    return F.sqrt((dl / sl) * (dl / sl) + (dc / sc) * (dc / sc) + (dh / sh) * (dh / sh) + rt * (dc / sc) * (dh / sh))

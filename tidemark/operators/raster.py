@@ -44,3 +44,76 @@ def largest_jump(cells: DataFrame) -> DataFrame:
     """Largest absolute difference to a 4-neighbour."""
     sides = spread(cells).where(F.abs("di") + F.abs("dj") == 1).select("i", "j", F.col("value").alias("other"))
     return cells.join(sides, ["i", "j"]).groupBy("i", "j").agg(F.max(F.abs(F.col("value") - F.col("other"))).alias("value"))
+
+
+def around_sums(cells: DataFrame, **kernels: list[list[float]]) -> DataFrame:
+    """(i, j, one column a kernel): weighted 3x3 sums of cells that have all nine values; a kernel's rows run with i."""
+    each = spread(cells)
+    weight = lambda k: F.element_at(F.array(*[F.lit(float(v)) for row in k for v in row]), (1 - F.col("di")) * 3 + 2 - F.col("dj"))
+    summed = each.groupBy("i", "j").agg(F.count("*").alias("_n"), *[F.sum(F.col("value") * weight(k)).alias(name) for name, k in kernels.items()])
+    return summed.where("_n = 9").drop("_n").join(cells.select("i", "j"), ["i", "j"], "left_semi")
+
+
+def mean3(cells: DataFrame) -> DataFrame:
+    return around_sums(cells, total=[[1, 1, 1]] * 3).select("i", "j", (F.col("total") / 9.0).alias("value"))
+
+
+def gradient(cells: DataFrame) -> DataFrame:
+    """Sobel magnitude, an eighth."""
+    g = around_sums(cells, gi=[[-1, -2, -1], [0, 0, 0], [1, 2, 1]], gj=[[-1, 0, 1], [-2, 0, 2], [-1, 0, 1]])
+    return g.select("i", "j", (F.sqrt(F.col("gi") * F.col("gi") + F.col("gj") * F.col("gj")) / 8.0).alias("value"))
+
+
+def laplacian(cells: DataFrame) -> DataFrame:
+    return around_sums(cells, value=[[0, 1, 0], [1, -4, 1], [0, 1, 0]])
+
+
+def median_filter(cells: DataFrame, radius: int = 2) -> DataFrame:
+    """Median of the values within ``radius``, empty cells left out."""
+    return spread(cells, radius).groupBy("i", "j").agg(F.percentile("value", F.lit(0.5)).alias("value")).join(cells.select("i", "j"), ["i", "j"], "left_semi")
+
+
+def bilinear(points: DataFrame, cells: DataFrame, key: str, cell: float) -> DataFrame:
+    """(key, value) of points (x, y): four taps between cell centres; points that lack one are left out."""
+    fi, fj = F.col("x") / cell - 0.5, F.col("y") / cell - 0.5
+    a, b = fi - F.floor(fi), fj - F.floor(fj)
+    taps = F.array(*[F.struct((F.floor(fi) + p).alias("i"), (F.floor(fj) + q).alias("j"), ((a if p else 1 - a) * (b if q else 1 - b)).alias("w")) for p in (0, 1) for q in (0, 1)])
+    met = points.select(key, F.explode(taps).alias("s")).select(key, "s.*").join(cells, ["i", "j"])
+    return met.groupBy(key).agg(F.sum(F.col("w") * F.col("value")).alias("value"), F.count("*").alias("_n")).where("_n = 4").drop("_n")
+
+
+def distance_to_change(labels: DataFrame, radius: int) -> DataFrame:
+    """(i, j, value, distance): cells to the nearest cell of another label; ``radius`` where none is nearer."""
+    near = spread(labels, radius).withColumnRenamed("value", "other").withColumn("_d", F.sqrt((F.col("di") * F.col("di") + F.col("dj") * F.col("dj")).cast("double")))
+    met = labels.join(near, ["i", "j"])
+    return met.groupBy("i", "j", "value").agg(F.least(F.coalesce(F.min(F.when(F.col("other") != F.col("value"), F.col("_d"))), F.lit(float(radius))), F.lit(float(radius))).alias("distance"))
+
+
+def near_mask(mask: DataFrame, radius: int, wrap: int | None = None) -> DataFrame:
+    """(i, j) within ``radius`` (square) of the mask's cells."""
+    return spread(mask.select("i", "j", F.lit(1).alias("value")), radius, wrap).select("i", "j").distinct()
+
+
+def cyclic_correlation(a: DataFrame, b: DataFrame, width: int, shifts: range) -> DataFrame:
+    """(shift, ncc, n): correlation of ``a`` with ``b`` moved by ``shift`` columns, which wrap at ``width``."""
+    moved = b.select("i", "j", F.col("value").alias("other"), F.explode(F.array(*[F.lit(s) for s in shifts])).alias("shift"))
+    met = a.join(moved.withColumn("j", F.pmod(F.col("j") + F.col("shift"), F.lit(width))), ["i", "j"])
+    return met.groupBy("shift").agg(F.corr("value", "other").alias("ncc"), F.count("*").alias("n"))
+
+
+def uphill(cells: DataFrame, cut, radius: int = 1) -> DataFrame:
+    """(i, j, pi, pj): the peak that steepest ascent leads to (ties: higher i, then j).
+
+    Pointers double each round, so a path of n cells takes log n joins; ``cut``
+    writes a round's table.
+    """
+    best = F.max(F.struct("value", (F.col("i") - F.col("di")).alias("i"), (F.col("j") - F.col("dj")).alias("j")))
+    to = spread(cells, radius).join(cells.select("i", "j"), ["i", "j"], "left_semi").groupBy("i", "j").agg(best.alias("m"))
+    step = cut(to.select("i", "j", F.col("m.i").alias("pi"), F.col("m.j").alias("pj")))
+    while True:
+        far = step.select(F.col("i").alias("pi"), F.col("j").alias("pj"), F.col("pi").alias("qi"), F.col("pj").alias("qj"))
+        moved = step.join(far, ["pi", "pj"])
+        after = cut(moved.select("i", "j", F.col("qi").alias("pi"), F.col("qj").alias("pj"), ((F.col("qi") != F.col("pi")) | (F.col("qj") != F.col("pj"))).alias("went")))
+        step = after.drop("went")
+        if after.where("went").isEmpty():
+            return step

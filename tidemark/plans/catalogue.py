@@ -13,32 +13,9 @@ from tidemark.operators import graph as G
 from tidemark.operators import joins as J
 from tidemark.operators import ordered as O  # noqa: E741
 from tidemark.operators import raster as R
+from tidemark.plans.registry import EV, ORACLES, PT, QUERIES, W, query, r
 from tidemark.sources.tables import spatial_points, table, timed_events
 
-_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-_ORACLES: dict[str, str] = {}
-
-EV = "e AS (SELECT event_id, user_id, event_type, value, epoch_us(ts)/1e6 AS t FROM events)"
-PT = "p AS (SELECT vec_id, label, embedding[1]::DOUBLE*100 AS x, embedding[2]::DOUBLE*100 AS y, embedding[3]::DOUBLE*100 AS z FROM embeddings)"
-W = "OVER (PARTITION BY user_id ORDER BY t, event_id)"
-
-
-def query(sql: str | None = None):
-    def register(f):
-        _QUERIES[f.__name__] = f
-        if sql:
-            _ORACLES[f.__name__] = sql
-        return f
-
-    return register
-
-
-def r(c, digits: int = 4):
-    """Rounded, and never minus zero: independent of the order of sums."""
-    c = F.col(c) if isinstance(c, str) else c
-    return F.round(c, digits) + 0.0
-
-
 # ---- ordered sequences
 
 
@@ -462,8 +439,12 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+    from tidemark.plans import survey_queries  # noqa: F401  registers its queries
+
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_ORACLES)
+    from tidemark.plans import survey_queries  # noqa: F401
+
+    return dict(ORACLES)
