@@ -158,6 +158,7 @@ class Scorer:
 
     def __init__(self, model: Model):
         self.model, self.known, self.table = model, {}, piece_table(model.index)
+        gc.collect()  # a reused worker may hold what earlier tasks left
         gc.disable()  # a task makes no cycles, and has very many small objects
         self.scores = np.zeros((0, len(model.langs)))
 

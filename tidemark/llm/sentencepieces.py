@@ -35,7 +35,7 @@ SPECIAL = -1e8
 NOT_LETTERS = r"\W\d_\u00b2\u00b3\u00b9"
 LETTER, OTHER = f"[^{NOT_LETTERS}]", f"(?:(?![ \\n])[{NOT_LETTERS}])"
 #: Chunks one worker remembers; the longest that are searched many at once.
-REMEMBERED, LONGEST_AT_ONCE = 300_000, 40
+REMEMBERED, LONGEST_AT_ONCE = 50_000, 40
 CHUNK = re.compile(f" *{LETTER}+| *{OTHER}+|\\n| +")
 
 
@@ -147,6 +147,7 @@ class Encoder:
         self.table = PieceTable(np.concatenate([hashed(_symbols([p for p, _, _ in group])) for group in by_length.values()]))
         self.scores = np.array([s for _, s, _ in listed] + [-np.inf])
         self.ids = np.array([i for _, _, i in listed] + [0], np.int32)
+        gc.collect()  # a reused worker may hold what earlier tasks left
         gc.disable()  # a task makes no cycles, and has very many small objects
         self.forget()
 
