@@ -271,6 +271,44 @@ def test_line_dedup_against_brute_force(spark, docs):
         assert got[d] == (sum(a == d for a, _ in copies), sum(a == d for a, _ in near), want)
 
 
+def test_wide_line_dedup_against_brute_force(spark):
+    rng = random.Random(10)
+    vocabulary = [f"w{i}" for i in range(400)]
+    rows = []
+    for n in (4, 5, 6, 8, 9, 12, 18, 19, 20, 21, 29, 36, 39, 40, 44, 70, 130, 300):
+        for _ in range(4):
+            base = rng.choices(vocabulary, k=n)
+            rows.append(" ".join(base))
+            for share in (0.04, 0.08, 0.1, 0.1, 0.13):
+                words = list(base)
+                for _ in range(max(1, round(share * n))):
+                    at = rng.randrange(len(words))
+                    words[at : at + rng.choice([0, 1, 1])] = rng.choice([[], ["qq"], [rng.choice(vocabulary)]])
+                rows.append(" ".join(words))
+    rng.shuffle(rows)
+    rows = list(dict.fromkeys(x for x in rows if x))
+
+    def distance(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            prev, row = row, [i]
+            for j, y in enumerate(b, 1):
+                row.append(min(row[-1] + 1, prev[j] + 1, prev[j - 1] + (x != y)))
+        return row[-1]
+
+    def close(a, b):
+        longer, shorter = max(len(a), len(b)), min(len(a), len(b))
+        bound = longer // linededup.PER_EDIT if longer >= 20 else 1
+        return shorter >= linededup.FEWEST and longer - shorter <= bound and distance(a, b) <= bound
+
+    words = [x.split(" ") for x in rows]
+    want = [any(close(w, v) for v in words[:i]) for i, w in enumerate(words)]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    got = {r.doc_id: r.n_near for r in linededup.deduplicated(df, wide=True).collect()}
+    assert [bool(got[i]) for i in range(len(rows))] == want
+    assert sum(want) > sum(r.n_near for r in linededup.deduplicated(df).collect())
+
+
 # the pipeline
 
 

@@ -55,7 +55,7 @@ def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    done = linededup.deduplicated(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    done = linededup.deduplicated(table(spark, sf_dir, "documents").select("doc_id", "text"), wide=True)
     return done.select("doc_id", "n_lines", "n_copies", "n_near", F.sha2("text", 256).alias("text_sha256"))
 
 
