@@ -13,6 +13,7 @@ from tidemark.operators import graph as G
 from tidemark.operators import joins as J
 from tidemark.operators import ordered as O  # noqa: E741
 from tidemark.operators import raster as R
+from tidemark.operators import sampling
 from tidemark.plans.registry import EV, ORACLES, PT, QUERIES, W, query, r
 from tidemark.sources.tables import spatial_points, table, timed_events
 
@@ -187,10 +188,16 @@ def lookup_map(spark, d):
 
 @query("WITH s AS (SELECT p_partkey, sum(1) OVER (ORDER BY p_partkey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS o FROM part WHERE p_partkey <= 50) SELECT p_partkey, CAST(coalesce(o, 0) AS BIGINT) AS row_offset FROM s")
 def global_offsets(spark, d):
-    from pyspark.sql.window import Window
+    return _offsets(table(spark, d, "part").where("p_partkey <= 50"))
+
+
+@query("SELECT p_partkey, row_number() OVER (ORDER BY p_partkey) - 1 AS row_offset FROM part")
+def global_offsets_whole(spark, d):
+    return _offsets(table(spark, d, "part"))
+
 
-    w = Window.orderBy("p_partkey").rowsBetween(Window.unboundedPreceding, -1)
-    return table(spark, d, "part").where("p_partkey <= 50").select("p_partkey", F.coalesce(F.sum(F.lit(1)).over(w), F.lit(0)).cast("bigint").alias("row_offset"))
+def _offsets(part):
+    return sampling.ranked(part.select("p_partkey"), ["p_partkey"]).select("p_partkey", F.col("rank").cast("bigint").alias("row_offset"))
 
 
 # ---- aggregates
