@@ -323,3 +323,17 @@ def test_pipeline_keeps_what_its_stages_keep(spark, docs):
     bench = decontaminate.Benchmark(duckdb.sql(f"SELECT item_id, text FROM '{SF}/benchmark.parquet'").fetchall())
     assert not any(bench.search(texts))
     assert len({neardup.simhash(t) for t in texts}) == len(texts)
+
+
+def test_rows_without_an_id_of_their_own(spark):
+    rng = random.Random(11)
+    texts = [" ".join(rng.choices([f"w{i}" for i in range(3000)], k=40)) for _ in range(7)]
+    shared = "one line that all of them have in common"
+    for ids in ((None, None, None), (4, 4, 4)):
+        rows = [(1, f"{texts[0]}\n{shared}"), *[(i, f"{shared}\n{t}") for i, t in zip(ids, texts[1:3])], (ids[2], f"{texts[3]}\n{texts[4]}")]
+        df = spark.createDataFrame(rows, "doc_id long, text string")
+        for wide in (False, True):
+            got = sorted(r.text for r in linededup.deduplicated(df, wide=wide).collect())
+            assert got == sorted([rows[0][1], *texts[1:3], rows[3][1]])
+        many = spark.createDataFrame([(ids[0], t) for t in [*texts, texts[0]]], "doc_id long, text string")
+        assert sorted(r.text for r in neardup.deduplicated(many).collect()) == sorted(texts)

@@ -121,12 +121,12 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def classes(marked: DataFrame, key: str = "doc_id") -> DataFrame:
-    """(fp, component_id) of the rows' fingerprints: smallest ``key`` over all linked ones."""
+    """(fp, comp, component_id) of the rows' fingerprints: smallest ``fp`` and smallest ``key`` over all linked ones."""
     ids = checkpointed(marked.groupBy("fp").agg(F.min(F.coalesce(key, F.lit(NO_ID))).alias("first")))
     parts = components(links(ids.select("fp"))).withColumnRenamed("node", "fp")
     joined = checkpointed(ids.join(parts, "fp", "left").select("fp", "first", F.coalesce("comp", "fp").alias("comp")))
     lowest = joined.groupBy("comp").agg(F.min("first").alias("component_id"))
-    return joined.join(lowest, "comp").select("fp", "component_id")
+    return joined.join(lowest, "comp").select("fp", "comp", "component_id")
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -142,10 +142,11 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 
 
 def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents that have their component's smallest id, one row of each; all columns stay."""
-    marked = checkpointed(fingerprinted(docs, text, [key]))
-    groups = classes(marked, key)
-    stay = marked.join(groups, "fp").where(F.coalesce(key, F.lit(NO_ID)) == F.col("component_id")).groupBy("component_id").agg(F.count("*").alias("rows"))
-    stay = checkpointed(stay.withColumnRenamed("component_id", "_first"))
-    kept = docs.join(stay, F.coalesce(docs[key], F.lit(NO_ID)) == stay["_first"], "left_semi")
-    return kept.dropDuplicates([key]) if not stay.where("rows > 1").isEmpty() else kept
+    """One row of each component: its smallest id (null last), then the least hash of the text; all columns stay."""
+    rows = docs.withColumn("_tag", F.xxhash64(text))
+    marked = checkpointed(fingerprinted(rows, text, [key, "_tag"]))
+    who = F.struct(F.coalesce(key, F.lit(NO_ID)).alias("_first"), F.col("_tag").alias("_text"))
+    first = marked.join(classes(marked, key).select("fp", "comp"), "fp").groupBy("comp", who.alias("who")).agg(F.count("*").alias("rows"))
+    stay = checkpointed(first.groupBy("comp").agg(F.min(F.struct("who", "rows")).alias("x")).select("x.who.*", "x.rows"))
+    kept = rows.join(stay, (F.coalesce(rows[key], F.lit(NO_ID)) == stay["_first"]) & (rows["_tag"] == stay["_text"]), "left_semi")
+    return (kept.dropDuplicates([key, "_tag"]) if not stay.where("rows > 1").isEmpty() else kept).drop("_tag")
