@@ -337,3 +337,21 @@ def test_rows_without_an_id_of_their_own(spark):
             assert got == sorted([rows[0][1], *texts[1:3], rows[3][1]])
         many = spark.createDataFrame([(ids[0], t) for t in [*texts, texts[0]]], "doc_id long, text string")
         assert sorted(r.text for r in neardup.deduplicated(many).collect()) == sorted(texts)
+
+
+def test_each_stage_runs_once(spark, monkeypatch):
+    import corpus_pipeline
+
+    read = spark.sparkContext.accumulator(0)
+
+    def first(spark, docs, sf_dir):
+        def run(batches):
+            for b in batches:
+                read.add(b.num_rows)
+                yield b
+
+        return docs.select("doc_id").mapInArrow(run, "doc_id long")
+
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [("first", first), ("second", lambda spark, docs, sf_dir: docs.union(docs.where("doc_id >= 0")))])
+    n = table(spark, SF, "documents").count()
+    assert corpus_pipeline.run(spark, SF).count() >= n and read.value == n
