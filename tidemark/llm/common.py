@@ -21,10 +21,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The session's ``spark.checkpoint.dir``; only where it is unset (single-machine tests) a temporary folder."""
+    """The session's ``spark.checkpoint.dir``; where it is unset a temporary folder, in local mode only: elsewhere the machines would not share it."""
     global _temporary
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
         _temporary = _temporary or tempfile.mkdtemp(prefix="tidemark-")
     return named or _temporary
 
@@ -40,6 +42,14 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fresh(name: str, *taken: str) -> str:
+    """``name``, with underscores in front until no column of ``taken`` has it (case doesn't count)."""
+    used = {c.lower() for c in taken}
+    while name.lower() in used:
+        name = "_" + name
+    return name
+
+
 def remainder(key: str, modulus: int) -> Column:
     """``crc32(key as text) mod modulus``; a null key counts as empty text."""
     return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit(""))) % modulus
