@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import annotate, checkpointed
+from .common import annotate, checkpointed, fresh
 
 #: Words in a shingle, and bits by which linked fingerprints differ at most.
 WORDS, RADIUS = 3, 3
@@ -142,11 +142,12 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 
 
 def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row of each component: its smallest id (null last), then the least hash of the text; all columns stay."""
-    rows = docs.withColumn("_tag", F.xxhash64(text))
-    marked = checkpointed(fingerprinted(rows, text, [key, "_tag"]))
-    who = F.struct(F.coalesce(key, F.lit(NO_ID)).alias("_first"), F.col("_tag").alias("_text"))
-    first = marked.join(classes(marked, key).select("fp", "comp"), "fp").groupBy("comp", who.alias("who")).agg(F.count("*").alias("rows"))
-    stay = checkpointed(first.groupBy("comp").agg(F.min(F.struct("who", "rows")).alias("x")).select("x.who.*", "x.rows"))
-    kept = rows.join(stay, (F.coalesce(rows[key], F.lit(NO_ID)) == stay["_first"]) & (rows["_tag"] == stay["_text"]), "left_semi")
-    return (kept.dropDuplicates([key, "_tag"]) if not stay.where("rows > 1").isEmpty() else kept).drop("_tag")
+    """One row of each component: its smallest id (null last), then the least hash of the text, then of the whole row; all columns stay."""
+    tag, whole, first, same, row = (fresh(c, *docs.columns) for c in ("tag", "whole", "first", "same", "row"))
+    rows = docs.withColumns({tag: F.xxhash64(text), whole: F.xxhash64(*docs.columns)})
+    marked = checkpointed(fingerprinted(rows.select(F.coalesce(key, F.lit(NO_ID)).alias(first), F.col(tag).alias(same), F.col(whole).alias(row), text), text, [first, same, row]))
+    found = marked.join(classes(marked, first).select("fp", "comp"), "fp").groupBy("comp", F.struct(first, same, row).alias("who")).agg(F.count("*").alias("rows"))
+    stay = checkpointed(found.groupBy("comp").agg(F.min(F.struct("who", "rows")).alias("x")).select("x.who.*", "x.rows"))
+    kept = rows.join(stay, (F.coalesce(rows[key], F.lit(NO_ID)) == stay[first]) & (rows[tag] == stay[same]) & (rows[whole] == stay[row]), "left_semi")
+    # rows that are alike in every column are one; where no kept row has a twin this changes nothing and is left out
+    return (kept.dropDuplicates([key, tag, whole]) if not stay.where("rows > 1").isEmpty() else kept).drop(tag, whole)
