@@ -18,8 +18,10 @@ from pyspark.sql.window import Window
 from .common import checkpointed
 
 WORDS, BITS, RADIUS = 3, 128, 3
-#: Buckets of neighbouring ids for each shuffle partition, and the most there are.
-BUCKETS_PER_PARTITION, MOST_BUCKETS = 4, 16_384
+#: Buckets of neighbouring ids for each shuffle partition.
+BUCKETS_PER_PARTITION = 4
+#: Parts into which a hot fingerprint's asked rows are split.
+SALTS = 64
 LANES = (1 << 32) + 1
 LOW = (1 << 32) - 1
 
@@ -58,7 +60,7 @@ def fingerprints(texts: DataFrame, by: list[str], text: str = "text") -> DataFra
     some of its columns already, nothing is shuffled.
     """
     s = texts.select(*by, F.explode_outer(shingles(F.col(text))).alias("s")).select(*by, F.concat_ws(" ", *[F.col(f"s.w{i}") for i in range(WORDS)]).alias("t"), F.col("s").isNotNull().alias("has"))
-    hashes = s.select(*by, *[F.when(F.col("has"), h).alias(n) for n, h in (("h0", F.xxhash64("t")), ("h1", F.xxhash64("t", F.lit(1))))])
+    hashes = s.select(*by, *[F.when(F.col("has"), h).alias(n) for n, h in (("h0", F.xxhash64("t")), ("h1", F.xxhash64(F.lit(1), "t")))])
     summed = hashes.groupBy(*by).agg(F.count("h0").alias("terms"), *votes([F.col("h0"), F.col("h1")]))
     return summed.select(*by, elected(F.col("terms")).alias("fingerprint"))
 
@@ -99,14 +101,14 @@ def within(fingerprints_: DataFrame, queries: DataFrame, radius: int = RADIUS) -
 
 def bounds(docs: DataFrame, key: str, parts: int) -> list[int]:
     """Ascending values of ``key`` that cut the rows into about ``parts`` equal buckets; the first is the least."""
-    shares = F.array(*[F.lit(i / parts) for i in range(1, parts)]) if parts > 1 else F.array(F.lit(0.5))
-    got = docs.agg(F.min(key), F.percentile_approx(key, shares, F.lit(max(10_000, 20 * parts)))).first()
-    return sorted({got[0], *(got[1] or [])}) if got[0] is not None else [0]
+    ranged = docs.select(key).repartitionByRange(parts, key)
+    got = ranged.groupBy(F.spark_partition_id()).agg(F.min(key).alias("first")).collect()
+    return sorted({r.first for r in got}) or [0]
 
 
 def bucket_of(key: str, cuts: list[int]) -> Column:
     """Number of the last cut at or below ``key``, by binary search."""
-    at, steps = F.array(*[F.lit(c) for c in cuts]), [1 << i for i in range(len(cuts).bit_length() - 1, -1, -1)]
+    at, steps = F.array(*[F.lit(c).cast("long") for c in cuts]), [1 << i for i in range(len(cuts).bit_length() - 1, -1, -1)]
     return F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), lambda pos, s: F.when(F.get(at, pos + s) <= F.col(key), pos + s).otherwise(pos))
 
 
@@ -119,10 +121,10 @@ def neighbours(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     """
     low = -(1 << 63)
     rows = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(low)).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    parts = min(MOST_BUCKETS, BUCKETS_PER_PARTITION * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    parts = BUCKETS_PER_PARTITION * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cuts = bounds(docs.select(F.coalesce(F.col(key).cast("long"), F.lit(low)).alias("id")), "id", parts)
     at = rows.withColumn("own", bucket_of("id", cuts))
-    first = F.get(F.array(*[F.lit(c) for c in cuts]), F.col("own")) == F.col("id")
+    first = F.get(F.array(*[F.lit(c).cast("long") for c in cuts]), F.col("own")) == F.col("id")
     own, before = F.struct(F.col("own").alias("bucket"), F.lit(False).alias("tail")), F.struct(F.pmod(F.col("own") - 1, F.lit(len(cuts))).alias("bucket"), F.lit(True).alias("tail"))
     placed = at.select("id", "text", F.explode(F.when(first, F.array(own, before)).otherwise(F.array(own))).alias("p")).select("p.*", "id", "text")
     w = Window.partitionBy("bucket").orderBy("tail", "id", "text")
@@ -159,7 +161,11 @@ def compared(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
 def near_counts(marked: DataFrame, key: str = "doc_id", every: int = 50, radius: int = RADIUS) -> DataFrame:
     """``marked`` with ``n_near``: for ids divisible by ``every``, the number of other fingerprints within ``radius`` bits; else null."""
     marked = checkpointed(marked)
-    asked = marked.where(F.col(key) % every == 0)
+    is_asked = F.coalesce(F.col(key) % every == 0, F.lit(False))
+    asked = marked.where(is_asked)
     found = within(marked, asked, radius).groupBy("query").agg((F.count("*") - 1).alias("n_near"))
-    found = asked.select("fingerprint").distinct().join(found.withColumnRenamed("query", "fingerprint"), "fingerprint")
-    return marked.join(found, "fingerprint", "left").withColumn("n_near", F.when(F.col(key) % every == 0, F.col("n_near"))).select(*marked.columns, "n_near")
+    # only asked rows are joined, a hot fingerprint's in parts
+    salt = F.pmod(F.xxhash64(key, "n_chars"), F.lit(SALTS)).alias("salt")
+    spread = found.select(F.col("query").alias("fingerprint"), "n_near", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("salt"))
+    counted = asked.select("*", salt).join(spread, ["fingerprint", "salt"]).select(*marked.columns, "n_near")
+    return counted.unionByName(marked.where(~is_asked).withColumn("n_near", F.lit(None).cast("long")))
