@@ -4,7 +4,8 @@ Three patterns give the base spans. Further tokens are judged by their character
 for the encoding that a token's alphabet implies, chi-squared uniformity, a runs
 test and lag-one serial correlation must not reject randomness; and its repeat
 rate must be too low for words, a p-value that gets stronger with length. Over a
-document's tokens these p-values go through Benjamini-Hochberg control.
+document's tokens these p-values go through Benjamini-Hochberg control; tokens that
+the battery rejects stay in the family with p = 1, so it is fixed beforehand.
 """
 
 from __future__ import annotations
@@ -113,15 +114,19 @@ def spans_of(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     hits = rows.select("_row", "_key", F.concat(*[found_by(k) for k in KINDS]).alias("_hits"))
     each = hits.select("_row", "_key", F.posexplode_outer("_hits").alias("_at", "_hit")).select("_row", "_key", "_at", "_hit.*").repartition("_row")
     w = Window.partitionBy("_row", "kind").orderBy("_at")
-    placed = each.withColumn("end", F.sum(F.col("gap") + F.col("size")).over(w))
-    judged = battery(placed).withColumn("span", F.struct((F.col("end") - F.col("size")).alias("start"), F.col("kind"), F.col("end").alias("end")))
+    placed = each.withColumn("end", F.sum(F.col("gap") + F.col("size")).over(w)).withColumn("start", F.col("end") - F.col("size"))
     is_random = F.col("kind") == KINDS.index("random")
+    # base spans that start at or before a token, and at or after it: whether one of them overlaps it
+    is_base, up_to, from_ = ~is_random & F.col("good"), (Window.unboundedPreceding, 0), (0, Window.unboundedFollowing)
+    by_start = Window.partitionBy("_row").orderBy("start")
+    covered = (F.max(F.when(is_base, F.col("end"))).over(by_start.rangeBetween(*up_to)) > F.col("start")) | (F.min(F.when(is_base, F.col("start"))).over(by_start.rangeBetween(*from_)) < F.col("end"))
+    judged = battery(placed.withColumn("covered", F.coalesce(covered, F.lit(False)))).withColumn("span", F.struct("start", "kind", "end"))
+    # a token that the battery rejects counts among the tests with p = 1: the family is fixed before any test is seen
+    p = F.when(F.col("p_random") >= REJECT, F.col("p_words")).otherwise(F.lit(1.0))
     gathered = judged.groupBy("_row", "_key").agg(
-        F.array_sort(F.collect_list(F.when(~is_random & F.col("good"), F.col("span")))).alias("base"),
-        F.array_sort(F.collect_list(F.when(is_random & (F.col("p_random") >= REJECT), F.struct(F.col("p_words").alias("p"), F.col("span").alias("span"))))).alias("tests"),
+        F.array_sort(F.collect_list(F.when(is_base, F.col("span")))).alias("base"),
+        F.array_sort(F.collect_list(F.when(is_random & ~F.col("covered") & F.col("encoding").isNotNull(), F.struct(p.alias("p"), F.col("span").alias("span"))))).alias("tests"),
     )
-    free = F.filter("tests", lambda t: ~F.exists("base", lambda b: (b["start"] < t["span"]["end"]) & (b["end"] > t["span"]["start"])))
-    gathered = gathered.withColumn("tests", free)
     # the largest i with p(i) <= i * rate / m; all up to there are found
     last = F.array_max(F.transform("tests", lambda t, i: F.when(t["p"] <= (i + 1) * RATE / F.size("tests"), i + 1).otherwise(0)))
     extra = F.array_sort(F.transform(F.slice("tests", 1, F.coalesce(last, F.lit(0))), lambda t: t["span"]))
