@@ -3,18 +3,21 @@
 Texts and items are sequences of words (letters and digits, case ignored). A CGK
 random walk copies a word to the output and moves on, or not, by a random bit of
 word and step: few edits between two sequences become few differing places of
-their walks. Each repetition samples some places of its own walk as a bucket key;
-an item-sized window that shares a key with an item is a candidate, and its word
-edit distance to the item is then computed exactly.
-
-Which windows need walks is exact, too: an item cut into one segment more than it
-may have edits leaves one segment intact in every match (pigeonhole), so windows
-are taken, at all shifts up to the edit bound, around intact segments only.
+their walks. Each repetition samples some places of its own walk as a bucket key.
+An item-sized window is looked up in the buckets of the items of its length; the
+items that it meets there are candidates, and their word edit distance to the text
+around the window is then computed exactly.
+
+Which windows are looked up is exact: an item cut into one segment more than it may
+have edits leaves one segment intact in every match (pigeonhole), so windows are
+taken, at all shifts up to the edit bound, around stretches that are a segment of
+some item of their length.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 from itertools import repeat
 
@@ -25,10 +28,10 @@ from pyspark.sql import types as T
 
 from .common import annotate
 
-#: Least similarity (1 - edits / words of the item); items under five words are not searched.
-SIMILARITY, LEAST_WORDS = 0.8, 5
-#: Walks, and places sampled from each: all of 600 items edited up to the bound were found; the tests ask for 0.95.
-WALKS, PLACES = 40, 3
+#: Least similarity (1 - edits / words of the item): items under five words may have no edit.
+SIMILARITY = 0.8
+#: Walks and places sampled from each for items of up to ``SHORT`` words; longer ones have walks in proportion, of one place less.
+WALKS, PLACES, SHORT = 40, 3, 60
 #: Items held by a worker at once; larger benchmarks are searched in blocks.
 BLOCK_ITEMS = 20_000
 #: Candidate windows embedded at once.
@@ -62,15 +65,20 @@ def bits(walks: int, steps: int) -> np.ndarray:
     return np.random.default_rng(7).integers(1, 1 << 63, (walks, steps), np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-def sampled(seqs: np.ndarray, length: int, walks: int = WALKS, places: int = PLACES) -> np.ndarray:
-    """[sequence, walk] -> hash of the sampled places of the CGK walk over rows of ``length`` words."""
-    steps = 3 * length
-    turn = bits(walks, steps)
+def effort(length: int) -> tuple[int, int]:
+    """Walks, and places sampled from each, for items of ``length`` words."""
+    return (WALKS, min(PLACES, 2 * length)) if length <= SHORT else (-(-WALKS * length // SHORT), PLACES - 1)
+
+
+def sampled(seqs: np.ndarray, length: int) -> np.ndarray:
+    """[sequence, walk] -> bucket of the sampled places of the CGK walk over rows of ``length`` words; no two walks share a bucket."""
+    walks, places = effort(length)
+    turn = bits(walks, 2 * length)
     rng = np.random.default_rng(length)
     picked = np.stack([rng.choice(2 * length, places, replace=False) for _ in range(walks)])
     padded = np.concatenate([seqs.astype(np.uint64) + np.uint64(2), np.ones((len(seqs), 1), np.uint64)], axis=1)
     at = np.zeros((len(seqs), walks), np.int64)
-    keys = np.zeros((len(seqs), walks), np.uint64)
+    keys = np.zeros((len(seqs), walks), np.uint64) + np.arange(walks, dtype=np.uint64)
     rows = np.arange(len(seqs))[:, None]
     with np.errstate(over="ignore"):
         for t in range(2 * length):
@@ -83,27 +91,38 @@ def sampled(seqs: np.ndarray, length: int, walks: int = WALKS, places: int = PLA
 
 @dataclass
 class Benchmark:
-    """Items as arrays of word numbers, their segments by length, and their bucket keys."""
+    """Items as arrays of word numbers, the segments of the items of a length, and their LSH buckets."""
 
     items: list[tuple[int, str]]
     vocabulary: dict[str, int] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
-        self.ids, self.seqs, self.bound = [], [], []
-        segments: dict[int, dict[int, list]] = {}
+        self.ids, self.seqs = [], []
+        by_length: dict[int, list[int]] = {}
+        segments: dict[int, dict[int, set]] = {}
         for item_id, text in self.items:
             seq = [self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in words_of(text)]
             n = len(seq)
-            if n < LEAST_WORDS:
+            if not n:
                 continue
-            k = int((1 - SIMILARITY) * n + 1e-9)
-            i = len(self.ids)
-            self.ids.append(item_id), self.seqs.append(np.array(seq, np.int64)), self.bound.append(k)
+            by_length.setdefault(n, []).append(len(self.ids))
+            self.ids.append(item_id), self.seqs.append(np.array(seq, np.int64))
+            k = self.bound(n)
             cuts = [round(j * n / (k + 1)) for j in range(k + 2)]
             for a, b in zip(cuts, cuts[1:]):
-                segments.setdefault(b - a, {}).setdefault(self.hash(self.seqs[i][a:b], b - a)[0], []).append((i, a))
-        self.segments = {m: (np.array(sorted(x), np.uint64), [x[h] for h in sorted(x)]) for m, x in segments.items()}
-        self.keys = [sampled(s[None, :], len(s))[0] for s in self.seqs]
+                segments.setdefault(b - a, {}).setdefault(self.hash(self.seqs[-1][a:b], b - a)[0], set()).add((n, a))
+        self.segments = {m: (np.array(sorted(x), np.uint64), [sorted(x[h]) for h in sorted(x)]) for m, x in segments.items()}
+        #: by length: sorted buckets, and the item of each
+        self.buckets = {}
+        for n, at in by_length.items():
+            keys = sampled(np.stack([self.seqs[i] for i in at]), n)
+            order = np.argsort(keys, axis=None, kind="stable")
+            self.buckets[n] = keys.ravel()[order], np.repeat(at, keys.shape[1])[order]
+
+    @staticmethod
+    def bound(n: int) -> int:
+        """Edits that an item of ``n`` words may have."""
+        return int((1 - SIMILARITY) * n + 1e-9)
 
     @staticmethod
     def hash(seq: np.ndarray, m: int) -> np.ndarray:
@@ -115,7 +134,7 @@ class Benchmark:
         return h
 
     def windows(self, text: np.ndarray) -> set[tuple[int, int]]:
-        """(item, start of the window as if nothing before the segment had been edited) around intact segments."""
+        """(words, start) of windows around stretches that are a segment of an item of that many words, as if nothing before had been edited."""
         found = set()
         for m, (hashes, where) in self.segments.items():
             h = self.hash(text, m)
@@ -123,9 +142,17 @@ class Benchmark:
                 continue
             at = np.minimum(np.searchsorted(hashes, h), len(hashes) - 1)
             for p in np.nonzero(hashes[at] == h)[0].tolist():
-                for i, a in where[at[p]]:
-                    if (text[p : p + m] == self.seqs[i][a : a + m]).all():
-                        found.add((i, p - a))
+                found.update((n, p - a) for n, a in where[at[p]])
+        return found
+
+    def candidates(self, seqs: np.ndarray, n: int) -> set[tuple[int, int]]:
+        """(row, item): items of ``n`` words that share a bucket with a row."""
+        keys, items = self.buckets[n]
+        own = sampled(seqs, n)
+        first, last = np.searchsorted(keys, own, "left"), np.searchsorted(keys, own, "right")
+        found = set()
+        for row, walk in zip(*(x.tolist() for x in np.nonzero(last > first))):
+            found.update((row, i) for i in items[first[row, walk] : last[row, walk]].tolist())
         return found
 
     def search(self, texts: list[str | None]) -> list[list[tuple[int, int, int]]]:
@@ -137,44 +164,40 @@ class Benchmark:
             bounds.append(len(words))
         text = np.fromiter(map(get, words, repeat(0)), np.int64, len(words))
         starts = np.array(bounds)
-        hits: list[dict[int, tuple[int, int, int]]] = [{} for _ in texts]
-        wanted: dict[int, list[tuple[int, int, int]]] = {}
-        for i, s in self.windows(text):
-            # the segment lies in this document; the window may reach over its ends by the edits
-            d = int(np.searchsorted(starts, max(0, s + self.bound[i]), "right")) - 1
-            for d in {d, max(0, int(np.searchsorted(starts, max(0, s), "right")) - 1), int(np.searchsorted(starts, min(len(text) - 1, max(0, s + len(self.seqs[i]) - 1)), "right")) - 1}:
+        document = lambda place: int(np.searchsorted(starts, min(len(text) - 1, max(0, place)), "right")) - 1
+        hits: list[dict[int, tuple[int, int]]] = [{} for _ in texts]
+        wanted: dict[int, set[tuple[int, int]]] = {}
+        for n, s in self.windows(text):
+            # the segment lies in one document; the window may reach over its ends by the edits
+            for d in {document(s), document(s + self.bound(n)), document(s + n - 1)}:
                 if d < len(texts):
-                    wanted.setdefault(len(self.seqs[i]), []).append((i, d, s))
+                    wanted.setdefault(n, set()).add((d, s))
         for n, places in wanted.items():
-            left = sorted(set(places))
-            for shift in sorted(range(-self.bound[left[0][0]], self.bound[left[0][0]] + 1), key=abs):
-                left = [x for x in left if x[0] not in hits[x[1]] or hits[x[1]][x[0]][1] > 0]
+            left, k = sorted(places), self.bound(n)
+            for shift in sorted(range(-k, k + 1), key=abs):
                 for lo in range(0, len(left), AT_ONCE):
                     self._verify(text, bounds, n, left[lo : lo + AT_ONCE], shift, hits)
-        return [sorted((self.ids[i], e, at) for i, (_, e, at) in h.items()) for h in hits]
+        return [sorted((self.ids[i], e, at) for i, (e, at) in h.items()) for h in hits]
 
     def _verify(self, text, bounds, n, places, shift, hits) -> None:
-        item = np.array([i for i, _, _ in places])
-        lo = np.array([bounds[d] for _, d, _ in places])
-        hi = np.array([bounds[d + 1] - 1 for _, d, _ in places])
-        start = np.array([s for _, _, s in places]) + shift
+        k = self.bound(n)
+        lo = np.array([bounds[d] for d, _ in places])
+        hi = np.array([bounds[d + 1] - 1 for d, _ in places])
+        start = np.array([s for _, s in places]) + shift
         index = start[:, None] + np.arange(n)
         inside = (index >= lo[:, None]) & (index < hi[:, None])
         seqs = np.where(inside, text[np.clip(index, 0, len(text) - 1)], -1)
-        same = (sampled(seqs, n) == np.stack([self.keys[i] for i in item])).any(1)
-        for j in np.nonzero(same)[0].tolist():
-            i, d, _ = places[j]
-            k = self.bound[i]
-            a, b = max(lo[j], start[j] - k), min(hi[j], start[j] + n + k)
-            if a >= b or (i in hits[d] and hits[d][i][1] == 0):
+        for j, i in sorted(self.candidates(seqs, n)):
+            d, a, b = places[j][0], max(lo[j], start[j] - k), min(hi[j], start[j] + n + k)
+            if a >= b or (i in hits[d] and hits[d][i][0] == 0):
                 continue
             edits, at = edits_within(self.seqs[i], text[a:b])
-            if edits <= k and (i not in hits[d] or edits < hits[d][i][1]):
-                hits[d][i] = (i, edits, int(a - lo[j]) + at)
+            if edits <= k and (i not in hits[d] or edits < hits[d][i][0]):
+                hits[d][i] = edits, int(a - lo[j]) + at
 
 
-def blocks(benchmark: DataFrame, item: str = "item_id", text: str = "text") -> list[list[tuple[int, str]]]:
-    """The benchmark's items on the driver, in blocks of bounded size read one after another."""
+def blocks(benchmark: DataFrame, item: str = "item_id", text: str = "text") -> Iterator[list[tuple[int, str]]]:
+    """The benchmark's items on the driver, one block of bounded size after another; items without an id or a text are none."""
     rows = benchmark.where(F.col(text).isNotNull() & F.col(item).isNotNull()).select(F.col(item).cast("long"), text).distinct()
     parts = -(-max(1, rows.count()) // BLOCK_ITEMS)
     for p in range(parts):
