@@ -16,12 +16,12 @@ from tidemark.llm.common import table
 
 SF = "/root/testdata/sf0.001"
 ODD = [(5, "a b c d e f"), (1, "é" * 3000 + " b"), (2, None), (9, ""), (9, ""), (7, "..."), (3, "a b c d e f"), (None, "x y")]
-SCHEMA = "doc_id long, text string, score string, hits int, fp string"
+SCHEMA = "doc_id long, text string, score string, hits int, fp string, copies string, near string, _id int, _tag int, gone int"
 
 
 def odd(spark):
     """Nulls, empty and long texts, repeated rows, and extra columns that have the names of added ones."""
-    return spark.createDataFrame([(*r, "s", 1, "f") for r in ODD], SCHEMA)
+    return spark.createDataFrame([(*r, "s", 1, "f", "c", "n", 7, 8, 9) for r in ODD], SCHEMA)
 
 
 @pytest.fixture(scope="module")
@@ -134,10 +134,25 @@ def test_forward_sums_all_segmentations():
     def brute(w, g):
         return 1.0 if not w else sum(model.probs[model.index.index(w[:k]), g] * brute(w[k:], g) for k in range(1, len(w) + 1) if w[:k] in model.index)
 
-    got = langid.forward([b" then"], langid.piece_table(model.index), model.probs)[0]
+    got = langid.forward([b" then"], langid.piece_table(model.index), model.probs, model.longest)[0]
     assert np.allclose(got, [math.log(brute(b" then", g)) for g in range(2)])
 
 
+@pytest.mark.parametrize("n", [5, 40, 300, 3000])
+def test_forward_on_long_words(n):
+    """Against a plain sum in logarithms over every piece of the vocabulary, at lengths where products vanish."""
+    model = langid.fit_counts({"a": {"the": 3, "thentionally" * 9: 2}, "b": {"und": 2, "über" * 30: 1}}, langid.pieces())
+    word = ("thentionüberunderstanding" * n)[:n]
+    place, spelled = {p: i for i, p in enumerate(model.index)}, langid.spelled(word)
+    want = np.zeros((len(spelled) + 1, 2))
+    with np.errstate(divide="ignore"):
+        lp = np.log(model.probs)
+    for e in range(1, len(spelled) + 1):
+        terms = [want[s] + lp[place[spelled[s:e]]] for s in range(max(0, e - model.longest), e) if spelled[s:e] in place]
+        want[e] = np.logaddexp.reduce(terms)
+    assert np.allclose(langid.Scorer(model).score([word])[0], want[-1])
+
+
 def test_language_on_held_out_documents(docs):
     counts = {}
     for _, t, lang in docs[::2]:
@@ -255,14 +270,14 @@ def test_line_dedup_against_brute_force(spark, docs):
     near, seen = set(), {}
     for x, at in first.items():
         w = x.split(" ")
-        if len(w) >= linededup.MIN_WORDS:
+        if len(w) >= linededup.FEWEST:
             for k in range(len(w)):
                 seen.setdefault((" ".join(w[:k] + w[k + 1 :]), k), []).append(at)
                 seen.setdefault((" ".join(w[:k] + w[k + 1 :]), -1), []).append((at, x))
     for (text, k), group in seen.items():
         if k >= 0:
             near |= {at for at in group if at > min(group)}
-        elif text in first and len(text.split(" ")) >= linededup.MIN_WORDS:
+        elif text in first and len(text.split(" ")) >= linededup.FEWEST:
             near |= {max(at, first[text]) for at, _ in group}
     got = {r.doc_id: (r.n_copies, r.n_near, r.text) for r in linededup.deduplicated(table(spark, SF, "documents").select("doc_id", "text")).collect()}
     for d, t, _ in docs:

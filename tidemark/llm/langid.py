@@ -2,8 +2,9 @@
 
 Each language has a probability for every piece of one fixed public vocabulary.
 A word's probability is the sum over all its segmentations into pieces (forward
-algorithm); a text's is the product over its words. Pieces never cross white
-space, so word scores are computed once a worker and looked up afterwards.
+algorithm, words of any length); a text's is the product over its words, and its score
+the best language's posterior. Pieces never cross white space, so word scores are
+computed once a worker and looked up afterwards.
 """
 
 from __future__ import annotations
@@ -23,28 +24,26 @@ from pyspark.sql import types as T
 from .common import annotate, vocabulary_path
 from .lattice import PieceTable, hashed
 
-#: Longest piece in bytes; longer vocabulary entries are not used.
-MAX_PIECE = 7
-#: Words of more bytes are scored in parts of this many.
-PART = 32
 #: Expected number of training documents a language contributes at most.
 PER_LABEL = 400
 #: Rounds of expectation maximisation.
 ROUNDS = 2
-#: Words of evidence from which on the score no longer sharpens.
-EVIDENCE = 32
 #: Pseudo-count of every piece in every language.
 SMOOTH = 0.01
 #: Words whose scores one worker remembers.
 REMEMBERED = 300_000
+#: Bytes from which on a word's sums are scaled on the way, so that they don't vanish.
+LONG = 32
+#: Numbers that a group of words may take at once.
+CELLS = 4_000_000
 
 
 def pieces(path: str | None = None) -> list[bytes]:
-    """Pieces of a rank file that are short enough, and every single byte."""
+    """All pieces of a rank file that a word (a space, then letters) can contain, and every single byte."""
     path = path or vocabulary_path("byte_bpe_multi_50k.tiktoken")
     with open(path, "rb") as f:
         found = [base64.b64decode(line.split()[0]) for line in f if line.strip()]
-    return sorted({p for p in found if len(p) <= MAX_PIECE} | {bytes([b]) for b in range(256)})
+    return sorted({p for p in found if IN_WORDS.fullmatch(p)} | {bytes([b]) for b in range(256)})
 
 
 def piece_table(index: list[bytes]) -> PieceTable:
@@ -62,41 +61,64 @@ def piece_table(index: list[bytes]) -> PieceTable:
 WORD = re.compile(r"[^\W\d_]+")
 
 
-def parted(word: str) -> list[bytes]:
-    """A word as bytes after a space, in parts of ``PART`` bytes at most."""
-    b = b" " + word.encode("utf-8", "replace")
-    return [b[i : i + PART] for i in range(0, len(b), PART)]
+IN_WORDS = re.compile(rb" ?[A-Za-z\x80-\xff]+")
+
+
+def spelled(word: str) -> bytes:
+    """A word as bytes after a space."""
+    return b" " + word.encode("utf-8", "replace")
 
 
 def _symbols(words: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(words), np.uint8).reshape(len(words), -1).astype(np.uint64)
 
 
-def forward(words: list[bytes], table: PieceTable, probs: np.ndarray) -> np.ndarray:
-    """Log probability of words of one length, [word, language]; the last row of ``probs`` is zero."""
+def forward(words: list[bytes], table: PieceTable, probs: np.ndarray, longest: int) -> np.ndarray:
+    """Log probability of words of one length, [word, language]: the sum over all segmentations. The last row of ``probs`` is zero."""
     length = len(words[0])
-    rows = table.substrings(_symbols(words), MAX_PIECE)
-    a = [np.ones((len(words), probs.shape[1]))]
+    rows = table.substrings(_symbols(words), longest)
+    a, off = [np.ones((len(words), probs.shape[1]))], 0.0
     for e in range(1, length + 1):
-        a.append(sum(a[e - k] * probs[rows[k - 1][:, e - k]] for k in range(1, min(MAX_PIECE, e) + 1)))
-    return np.log(a[length])
-
-
-def _expected(words: list[bytes], counts: np.ndarray, table: PieceTable, p: np.ndarray, out: np.ndarray) -> None:
-    """Adds the expected piece counts of words of one length to ``out`` (forward-backward)."""
+        a.append(sum(a[e - k] * probs[rows[k - 1][:, e - k]] for k in range(1, min(longest, e) + 1)))
+        if e > longest:
+            a[e - longest - 1] = None
+        if length > LONG and e % 8 == 0:
+            # what no piece bridges any more may grow without bound; it only ever meets zeros
+            now = a[e]
+            off = off + np.log(now)
+            for i in range(max(0, e - longest + 1), e + 1):
+                a[i] = np.minimum(a[i] / now, 1e290)
+    return off + np.log(a[length])
+
+
+def _expected(words: list[bytes], counts: np.ndarray, table: PieceTable, p: np.ndarray, out: np.ndarray, longest: int) -> None:
+    """Adds the expected piece counts of words of one length to ``out`` (forward-backward, in logarithms for long words)."""
     length = len(words[0])
-    rows = table.substrings(_symbols(words), MAX_PIECE)
-    spans = [(e, k) for e in range(1, length + 1) for k in range(1, min(MAX_PIECE, e) + 1)]
-    a, b = np.zeros((2, length + 1, len(words)))
-    a[0] = b[length] = 1.0
+    rows = table.substrings(_symbols(words), longest)
+    spans = [(e, k) for e in range(1, length + 1) for k in range(1, min(longest, e) + 1)]
+    if length <= LONG:
+        a, b = np.zeros((2, length + 1, len(words)))
+        a[0] = b[length] = 1.0
+        for e, k in spans:
+            a[e] += a[e - k] * p[rows[k - 1][:, e - k]]
+        for e, k in reversed(spans):
+            b[e - k] += p[rows[k - 1][:, e - k]] * b[e]
+        weight = counts / a[length]
+        for e, k in spans:
+            r = rows[k - 1][:, e - k]
+            out += np.bincount(r, a[e - k] * p[r] * b[e] * weight, len(out))
+        return
+    with np.errstate(divide="ignore"):
+        lp = np.log(p)
+    a, b = np.full((2, length + 1, len(words)), -np.inf)
+    a[0] = b[length] = 0.0
     for e, k in spans:
-        a[e] += a[e - k] * p[rows[k - 1][:, e - k]]
+        a[e] = np.logaddexp(a[e], a[e - k] + lp[rows[k - 1][:, e - k]])
     for e, k in reversed(spans):
-        b[e - k] += p[rows[k - 1][:, e - k]] * b[e]
-    weight = counts / a[length]
+        b[e - k] = np.logaddexp(b[e - k], lp[rows[k - 1][:, e - k]] + b[e])
     for e, k in spans:
         r = rows[k - 1][:, e - k]
-        out += np.bincount(r, a[e - k] * p[r] * b[e] * weight, len(out))
+        np.add.at(out, r, np.exp(a[e - k] + lp[r] + b[e] - a[length]) * counts)
 
 
 @dataclass
@@ -107,26 +129,33 @@ class Model:
     index: list[bytes]
     probs: np.ndarray
 
+    def __post_init__(self) -> None:
+        self.longest = max(map(len, self.index), default=1)
+
+
+def at_once(length: int, longest: int) -> int:
+    """Words of ``length`` bytes in a group of bounded size."""
+    return max(1, CELLS // (length * min(length, longest)))
+
 
 def fit_counts(counts: dict[str, dict[str, int]], index: list[bytes], rounds: int = ROUNDS) -> Model:
     """Model from word counts by language."""
-    langs, table = sorted(counts), piece_table(index)
+    langs, table, longest = sorted(counts), piece_table(index), max(map(len, index))
     probs = np.zeros((len(index) + 1, len(langs)))
     for g, lang in enumerate(langs):
         by_length = defaultdict(list)
         for w, c in counts[lang].items():
-            for part in parted(w):
-                by_length[len(part)].append((part, c))
-        groups = [([w for w, _ in x], np.array([c for _, c in x], float)) for x in by_length.values()]
+            by_length[len(spelled(w))].append((spelled(w), c))
+        groups = [([w for w, _ in x[lo : lo + step]], np.array([c for _, c in x[lo : lo + step]], float)) for n, x in by_length.items() for step in (at_once(n, longest),) for lo in range(0, len(x), step)]
         guess = np.full(len(index) + 1, SMOOTH)  # at first: how often a piece occurs at all
         for words, c in groups:
-            for r in table.substrings(_symbols(words), MAX_PIECE):
+            for r in table.substrings(_symbols(words), longest):
                 guess += np.bincount(r.ravel(), np.repeat(c, r.shape[1]), len(guess))
         for _ in range(rounds):
             guess[-1] = 0.0
             p, guess = guess / guess.sum(), np.full(len(index) + 1, SMOOTH)
             for words, c in groups:
-                _expected(words, c, table, p, guess)
+                _expected(words, c, table, p, guess, longest)
         guess[-1] = 0.0
         probs[:, g] = guess / guess.sum()
     return Model(langs, index, probs)
@@ -162,19 +191,22 @@ class Scorer:
         gc.disable()  # a task makes no cycles, and has very many small objects
         self.scores = np.zeros((0, len(model.langs)))
 
-    def learn(self, fresh: list[str]) -> None:
-        by_length, first = defaultdict(list), len(self.known)
-        for w in fresh:
-            at = self.known[w] = len(self.known)
-            for part in parted(w):
-                by_length[len(part)].append((at - first, part))
-        new = np.zeros((len(fresh), len(self.model.langs)))
+    def score(self, words: list[str]) -> np.ndarray:
+        """Log probabilities [word, language]."""
+        by_length, out = defaultdict(list), np.zeros((len(words), len(self.model.langs)))
+        for at, w in enumerate(words):
+            by_length[len(spelled(w))].append(at)
         for length, group in by_length.items():
-            step = max(1, 400_000 // length)
+            step = at_once(length, self.model.longest)
             for lo in range(0, len(group), step):
-                at, words = zip(*group[lo : lo + step])
-                np.add.at(new, list(at), forward(list(words), self.table, self.model.probs))
-        self.scores = np.concatenate([self.scores, new])
+                at = group[lo : lo + step]
+                out[at] = forward([spelled(words[i]) for i in at], self.table, self.model.probs, self.model.longest)
+        return out
+
+    def learn(self, fresh: list[str]) -> None:
+        for w in fresh:
+            self.known[w] = len(self.known)
+        self.scores = np.concatenate([self.scores, self.score(fresh)])
 
     def __call__(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         langs, scores = [], []
@@ -190,7 +222,7 @@ class Scorer:
                 scores.append(0.0)
                 continue
             known = self.known
-            total = self.scores[[known[w] for w in d]].sum(0) * min(1.0, EVIDENCE / len(d))
+            total = self.scores[[known[w] for w in d]].sum(0)
             best = int(total.argmax())
             langs.append(self.model.langs[best])
             scores.append(1.0 / sum(math.exp(max(-700.0, x - total[best])) for x in total))
