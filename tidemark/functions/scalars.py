@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 PANO_W, PANO_H = 8000, 4000
 TOL_ABS, TOL_REL = 0.15, 0.03
+#: Height error that the visibility test forgives (m), and the most that slope or grazing may add to its tolerance (m).
+HEIGHT_TOL, SLOPE_CAP = 0.12, 2.0
 
 
 def circular(a: Column, b: Column) -> Column:
@@ -60,9 +62,23 @@ def depth_mm(metres: Column) -> Column:
     return F.when(metres.isNull(), 0).otherwise(F.least(F.greatest(F.rint(metres * 1000), F.lit(1)), F.lit(65535)).cast("int"))
 
 
-def visible(r: Column, depth: Column) -> Column:
-    """Whether range ``r`` lies at the cell's depth or before; an empty cell hides nothing and shows nothing."""
-    return depth.isNotNull() & (r <= depth + F.greatest(F.lit(TOL_ABS), TOL_REL * r))
+def visible(r: Column, depth: Column, spread: Column, row: Column, h: int) -> Column:
+    """Whether range ``r`` lies at its cell's depth or before, within a tolerance; an empty cell shows nothing.
+
+    The tolerance is the largest of an absolute and a relative one, of the depth
+    spread around the cell and of what a small height error makes of the range at
+    the cell's elevation (``row`` of ``h``); the last two are capped.
+    """
+    elevation = F.abs(F.radians(90.0 - (row + 0.5) / h * 180.0))
+    grazing = F.least(HEIGHT_TOL / F.greatest(F.sin(elevation), F.lit(0.05)), F.lit(SLOPE_CAP))
+    slope = F.least(F.coalesce(spread, F.lit(0.0)), F.lit(SLOPE_CAP))
+    return depth.isNotNull() & (r <= depth + F.greatest(F.lit(TOL_ABS), TOL_REL * r, slope, grazing))
+
+
+def cell_of(u: Column, v: Column, w: int, h: int) -> tuple[Column, Column]:
+    """(row, column) of a panorama place already scaled to ``w`` by ``h`` cells: truncated, rows clamped, columns wrapped."""
+    row = F.least(F.greatest(v.cast("long"), F.lit(0).cast("long")), F.lit(h - 1).cast("long"))
+    return row, F.pmod(u.cast("long"), F.lit(w).cast("long"))
 
 
 def distance_score(r: Column, reach: float = 8.0) -> Column:

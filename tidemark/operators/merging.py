@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.raster import spread
+
 
 class MissingRows(ValueError):
     """An input that must cover every row does not."""
@@ -26,22 +28,39 @@ def merged(base: DataFrame, key: str, colours: DataFrame | None, labels: DataFra
     return out.drop("_colour")
 
 
-def attached(cells: DataFrame, share: float = 0.5) -> DataFrame:
-    """(low, high): the upper cluster over at least ``share`` of a lower cluster's columns; ``cells``: (i, j, low, high), either may be null."""
-    columns = cells.groupBy("i", "j", "low").agg(F.max("high").alias("high")).where("low is not null")
-    votes = columns.groupBy("low", "high").agg(F.count("*").alias("n"))
-    total = votes.groupBy("low").agg(F.sum("n").alias("total"), F.max(F.when(F.col("high").isNotNull(), F.struct("n", (-F.col("high")).alias("minus")))).alias("m"))
-    return total.where(F.col("m.n") >= share * F.col("total")).select("low", (-F.col("m.minus")).alias("high"))
+def attached(points: DataFrame, overlap: float = 0.5) -> DataFrame:
+    """(low, high): lower clusters and the upper one under whose footprint at least ``overlap`` of their points lie.
+
+    ``points``: (i, j, low, high), one of the labels null. A cell's footprint is
+    the upper label most points of it have (lowest on a tie), an empty cell's the
+    highest label of its eight neighbours.
+    """
+    counts = points.where("high is not null").groupBy("i", "j", "high").agg(F.count("*").alias("n"))
+    own = counts.groupBy("i", "j").agg(F.max(F.struct("n", (-F.col("high")).alias("minus"))).alias("m")).select("i", "j", (-F.col("m.minus")).alias("value"))
+    foot = spread(own).groupBy("i", "j").agg(F.max(F.when((F.col("di") == 0) & (F.col("dj") == 0), F.col("value"))).alias("own"), F.max("value").alias("grown")).select("i", "j", F.coalesce("own", "grown").alias("under"))
+    low = points.where("low is not null").groupBy("i", "j", "low").agg(F.count("*").alias("n"))
+    votes = low.join(foot, ["i", "j"], "left").groupBy("low", "under").agg(F.sum("n").alias("n"))
+    most = votes.groupBy("low").agg(F.sum("n").alias("total"), F.max(F.when(F.col("under").isNotNull(), F.struct("n", (-F.col("under")).alias("minus")))).alias("m"))
+    return most.where(F.col("m.n") >= overlap * F.col("total")).select("low", (-F.col("m.minus")).alias("high"))
 
 
-def absorbed(cells: DataFrame, small: float, big: float, cell_area: float) -> DataFrame:
-    """(id, into): clusters under ``small`` square metres and the big neighbour (at least ``big``) they touch most; ``cells``: (i, j, id)."""
-    cells = cells.distinct()
-    sizes = cells.groupBy("id").agg((F.count("*") * cell_area).alias("area"))
-    sides = F.array(*[F.struct(F.lit(a).alias("di"), F.lit(b).alias("dj")) for a in (-1, 0, 1) for b in (-1, 0, 1)])
-    tiny = cells.join(sizes.where(F.col("area") < small), "id").select("id", "i", "j", F.explode(sides).alias("s")).select("id", (F.col("i") + F.col("s.di")).alias("i"), (F.col("j") + F.col("s.dj")).alias("j"))
-    large = cells.join(sizes.where(F.col("area") >= big), "id").select(F.col("id").alias("into"), "i", "j")
-    touch = tiny.join(large, ["i", "j"]).groupBy("id", "into").agg(F.count("*").alias("n"))
+def absorbed(points: DataFrame, id_: str, voxel: float, eps: float, small: float, big: float, cell: float = 0.5) -> DataFrame:
+    """(id, into): clusters with a footprint under ``small`` and the big one (at least ``big``) with which most of their voxels' points pair within ``eps``.
+
+    ``points``: (point, id, x, y, z). A voxel stands for its least point; lower id
+    on a tie. Pairs are found in cells as wide as ``eps``.
+    """
+    area = points.groupBy(id_).agg((F.countDistinct(F.floor(F.col("x") / cell), F.floor(F.col("y") / cell)) * cell * cell).alias("area"))
+    at = [F.floor(F.col(c) / voxel).alias("_" + c) for c in "xyz"]
+    firsts = points.groupBy(*at).agg(F.min(F.struct("point", F.col(id_).alias("id"), "x", "y", "z")).alias("p")).select("p.*")
+    sized = firsts.join(area.withColumnRenamed(id_, "id"), "id")
+    wide = lambda c, s=0: (F.floor(F.col(c) / eps) + s).alias("_" + c)
+    tiny = sized.where(F.col("area") < small)
+    near = F.array(*[F.struct(*[wide(c, s) for c, s in zip("xyz", (a, b, d))]) for a in (-1, 0, 1) for b in (-1, 0, 1) for d in (-1, 0, 1)])
+    tiny = tiny.select("id", *[F.col(c).alias("s" + c) for c in "xyz"], F.explode(near).alias("c")).select("id", "sx", "sy", "sz", "c.*")
+    large = sized.where(F.col("area") >= big).select(F.col("id").alias("into"), "x", "y", "z", *[wide(c) for c in "xyz"])
+    d2 = sum(((F.col(c) - F.col("s" + c)) * (F.col(c) - F.col("s" + c)) for c in "xyz"), F.lit(0.0))
+    touch = tiny.join(large, ["_x", "_y", "_z"]).where(d2 <= eps * eps).groupBy("id", "into").agg(F.count("*").alias("n"))
     return touch.groupBy("id").agg(F.max(F.struct("n", (-F.col("into")).alias("minus"))).alias("m")).select("id", (-F.col("m.minus")).alias("into"))
 
 

@@ -79,6 +79,44 @@ def nearest(points: DataFrame, frames: DataFrame, by: str, t: str, bucket: float
     return near.withColumn("nearest", F.when(F.col("before").isNotNull() & earlier, F.col("before.id")).otherwise(F.col("after.id"))).drop("before", "after")
 
 
+def interpolated(points: DataFrame, frames: DataFrame, by: str, t: str, straight: list[str], angles: list[str], bucket: float) -> DataFrame:
+    """``points`` with the frames' columns at their times: linear between frames, and along the first or last segment outside.
+
+    ``angles`` (degrees) turn the short way and come out in [-180, 180). A ``by``
+    with one frame keeps its values; one without has nulls. Of frames at one time
+    the first by value counts. The values travel with the segment, so that nothing
+    is joined back.
+    """
+    columns = [*straight, *angles]
+    one = frames.groupBy(by, t).agg(F.min(F.struct(*columns)).alias("a"))
+    w = Window.partitionBy(by).orderBy(t)
+    seg = one.select(by, t, "a", F.lead(t).over(w).alias("t1"), F.lead("a").over(w).alias("b"), F.lag(t).over(w).alias("_p"))
+    # the last frame starts no segment; the one before is followed to the end
+    seg = seg.where(F.col("t1").isNotNull() | F.col("_p").isNull()).select(by, t, F.struct("a", F.col(t).alias("t0"), "b", "t1").alias("id"))
+    near = around(points, seg, by, t, bucket).withColumn("_s", F.coalesce("before.id", "after.id")).drop("before", "after")
+    share = F.coalesce((F.col(t) - F.col("_s.t0")) / (F.col("_s.t1") - F.col("_s.t0")), F.lit(0.0))
+    step = lambda c: F.coalesce(F.col(f"_s.b.{c}") - F.col(f"_s.a.{c}"), F.lit(0.0))
+    out = {c: F.col(f"_s.a.{c}") + step(c) * share for c in straight} | {c: wrapped(F.col(f"_s.a.{c}") + wrapped(step(c)) * share) for c in angles}
+    return near.select(*[c for c in points.columns if c not in columns], *[v.alias(k) for k, v in out.items()])
+
+
+def group_at(points: DataFrame, frames: DataFrame, group: str, t: str, bucket: float) -> DataFrame:
+    """``points`` with the ``group`` in whose stretch of time they lie: groups meet halfway between the last row of one and the first of the next.
+
+    A time on a border belongs to the earlier group; before the first and after the
+    last one they reach on. Groups must not overlap in time.
+    """
+    ends = frames.groupBy(group).agg(F.min(t).alias("lo"), F.max(t).alias("hi"))
+    # one row a group
+    w = Window.orderBy("lo")
+    border = ends.select(F.col(group).alias("own"), F.lead(group).over(w).alias("next"), ((F.col("hi") + F.lead("lo").over(w)) / 2).alias(t))
+    some = F.lit(0)
+    marks = border.where(F.col(t).isNotNull()).select(some.alias("_g"), t, F.struct("own", "next").alias("id"))
+    near = around(points.withColumn("_g", some), marks, "_g", t, bucket)
+    alone = ends.agg(F.min(group)).scalar()
+    return near.withColumn(group, F.coalesce("after.id.own", "before.id.next", alone)).drop("_g", "before", "after")
+
+
 def resampled(df: DataFrame, by: str, order: list[str], t: str, x: str, step: float, longest: float) -> DataFrame:
     """(by, t, x) on a regular grid of ``step`` within stretches whose gaps are ``longest`` at most, interpolated."""
     w = Window.partitionBy(by).orderBy(*order)

@@ -75,16 +75,23 @@ def frames_around(spark, d):
     return O.around(clicks, views, "user_id", "t", 86_400.0).select("event_id", r(F.col("after.t") - F.col("before.t"), 3).alias("gap"), F.col("before.id").alias("before_id"), F.col("after.id").alias("after_id"))
 
 
-@query(f"""{NEAR}, v AS (SELECT n.event_id, n.t, n.bt, n.nt, e0.value AS v0, e1.value AS v1 FROM n LEFT JOIN e e0 ON e0.event_id=n.bid LEFT JOIN e e1 ON e1.event_id=n.aid)
-SELECT event_id, round(CASE WHEN v0 IS NULL THEN v1 WHEN v1 IS NULL OR nt=bt THEN v0 ELSE v0+(v1-v0)*(t-bt)/(nt-bt) END, 4)+0.0 AS value FROM v""")
+@query(f"""WITH {EV}, fr AS (SELECT user_id, t, min(value) AS x FROM e WHERE event_type='view' GROUP BY 1,2), fy AS (SELECT *, 3*x+180.0-360.0*floor((3*x+180.0)/360.0)-180.0 AS y FROM fr), s AS (SELECT user_id, t AS t0, x AS x0, y AS y0, lead(t) OVER w AS t1, lead(x) OVER w AS x1, lead(y) OVER w AS y1, lag(t) OVER w AS p FROM fy WINDOW w AS (PARTITION BY user_id ORDER BY t)),
+g AS (SELECT * FROM s WHERE t1 IS NOT NULL OR p IS NULL), f AS (SELECT * FROM g QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY t0)=1), c AS (SELECT event_id, user_id, t FROM e WHERE event_type='click'), b AS (SELECT c.event_id, c.user_id, c.t, g.t0, g.x0, g.y0, g.t1, g.x1, g.y1 FROM c ASOF LEFT JOIN g ON c.user_id=g.user_id AND c.t >= g.t0),
+m AS (SELECT b.event_id, b.t, coalesce(b.t0,f.t0) AS t0, coalesce(b.x0,f.x0) AS x0, coalesce(b.y0,f.y0) AS y0, coalesce(b.t1, CASE WHEN b.t0 IS NULL THEN f.t1 END) AS t1, coalesce(b.x1, CASE WHEN b.t0 IS NULL THEN f.x1 END) AS x1, coalesce(b.y1, CASE WHEN b.t0 IS NULL THEN f.y1 END) AS y1 FROM b LEFT JOIN f USING (user_id)),
+q AS (SELECT event_id, CASE WHEN t1 IS NULL THEN 0.0 ELSE (t-t0)/(t1-t0) END AS a, x0, coalesce(x1-x0,0) AS dx, y0, coalesce(y1-y0,0)+180.0 AS dy FROM m), r AS (SELECT event_id, x0+dx*a AS x, y0+(dy-360.0*floor(dy/360.0)-180.0)*a+180.0 AS y FROM q) SELECT event_id, round(x,3)+0.0 AS value, round(y-360.0*floor(y/360.0)-180.0,3)+0.0 AS yaw FROM r""")
 def linear_interpolation(spark, d):
-    clicks, views = _views_and_clicks(spark, d)
-    near = O.around(clicks.drop("value"), views, "user_id", "t", 86_400.0)
-    v = timed_events(spark, d).select("event_id", "value")
-    both = near.join(v.select(F.col("event_id").alias("_b"), F.col("value").alias("v0")), F.col("before.id") == F.col("_b"), "left").join(v.select(F.col("event_id").alias("_a"), F.col("value").alias("v1")), F.col("after.id") == F.col("_a"), "left")
-    t0, t1 = F.col("before.t"), F.col("after.t")
-    line = F.when(F.col("v0").isNull(), F.col("v1")).when(F.col("v1").isNull() | (t0 == t1), F.col("v0")).otherwise(F.col("v0") + (F.col("v1") - F.col("v0")) * (F.col("t") - t0) / (t1 - t0))
-    return both.select("event_id", r(line).alias("value"))
+    clicks, _ = _views_and_clicks(spark, d)
+    views = timed_events(spark, d).where("event_type = 'view'").select("user_id", "t", "value", O.wrapped(3 * F.col("value")).alias("yaw"))
+    at = O.interpolated(clicks.select("event_id", "user_id", "t"), views, "user_id", "t", ["value"], ["yaw"], 86_400.0)
+    return at.select("event_id", r("value", 3).alias("value"), r("yaw", 3).alias("yaw"))
+
+
+@query(f"""WITH {EV}, g AS (SELECT floor(t/86400)::BIGINT AS pass, min(t) AS lo, max(t) AS hi FROM e WHERE event_type='signup' GROUP BY 1), b AS (SELECT pass, (hi + lead(lo) OVER (ORDER BY lo))/2 AS hi, (lag(hi) OVER (ORDER BY lo) + lo)/2 AS lo FROM g)
+SELECT event_id, pass FROM e JOIN b ON (b.lo IS NULL OR t > b.lo) AND (b.hi IS NULL OR t <= b.hi) WHERE event_type='error'""")
+def pass_of_time(spark, d):
+    e = timed_events(spark, d)
+    days = e.where("event_type = 'signup'").select("t", F.floor(F.col("t") / 86_400).alias("pass"))
+    return O.group_at(e.where("event_type = 'error'").select("event_id", "t"), days, "pass", "t", 86_400.0).select("event_id", "pass")
 
 
 @query(f"""WITH {EV}, s AS (SELECT user_id, t AS t0, lead(t) {W} AS t1, value AS x0, lead(value) {W} AS x1 FROM e), g AS (SELECT *, ceil(t0/3600) AS k0, ceil(t1/3600)-1 AS k1 FROM s WHERE t1 > t0 AND t1-t0 <= 86400), k AS (SELECT *, unnest(range(k0::BIGINT, k1::BIGINT+1)) AS k FROM g)
@@ -125,11 +132,10 @@ def disc_query(spark, d):
 
 @query("SELECT event_id, user_id FROM events WHERE epoch_us(ts) BETWEEN (SELECT min(epoch_us(ts)) + 3600000000 FROM events) AND (SELECT min(epoch_us(ts)) + 86400000000 FROM events)")
 def time_query(spark, d):
+    """The bounds are a scalar subquery: nothing runs while the plan is made."""
     e = table(spark, d, "events")
-    lo = e.agg(F.min("ts")).first()[0]
-    import datetime as dt
-
-    return e.where(F.col("ts").between(F.lit(lo + dt.timedelta(hours=1)), F.lit(lo + dt.timedelta(days=1)))).select("event_id", "user_id")
+    first = e.agg(F.min("ts")).scalar()
+    return e.where(F.col("ts").between(first + F.expr("INTERVAL 1 HOUR"), first + F.expr("INTERVAL 1 DAY"))).select("event_id", "user_id")
 
 
 RANGE = f"WITH {PT}, c AS (SELECT vec_id AS centre, x AS cx, y AS cy FROM p WHERE label=3)"
@@ -186,13 +192,9 @@ def lookup_map(spark, d):
     return table(spark, d, "supplier").join(n, F.col("s_nationkey") == n.n_nationkey).join(g, n.n_regionkey == g.r_regionkey).select("s_suppkey", "n_name", "r_name")
 
 
-@query("WITH s AS (SELECT p_partkey, sum(1) OVER (ORDER BY p_partkey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS o FROM part WHERE p_partkey <= 50) SELECT p_partkey, CAST(coalesce(o, 0) AS BIGINT) AS row_offset FROM s")
-def global_offsets(spark, d):
-    return _offsets(table(spark, d, "part").where("p_partkey <= 50"))
-
-
 @query("SELECT p_partkey, row_number() OVER (ORDER BY p_partkey) - 1 AS row_offset FROM part")
-def global_offsets_whole(spark, d):
+def global_offsets(spark, d):
+    """Offset of every row, by ranked ranges: no task sorts the whole table."""
     return _offsets(table(spark, d, "part"))
 
 
@@ -208,17 +210,23 @@ def top_k_samples(spark, d):
     return A.top_k(table(spark, d, "lineitem"), "l_partkey", "l_discount", ["l_orderkey", "l_linenumber"], 5).select("l_partkey", "l_orderkey", "l_linenumber", "rank")
 
 
-@query("""WITH m AS (SELECT l_partkey, quantile_cont(l_extendedprice, 0.5) AS m FROM lineitem GROUP BY 1), x AS (SELECT l.l_partkey, l_extendedprice AS v, m, abs(l_extendedprice-m) AS dv FROM lineitem l JOIN m USING (l_partkey)), a AS (SELECT l_partkey, quantile_cont(dv, 0.5) AS mad FROM x GROUP BY 1)
-SELECT l_partkey, count(*) AS kept, round(any_value(mad),4)+0.0 AS mad, round(quantile_cont(v, 0.5),4)+0.0 AS median FROM x JOIN a USING (l_partkey) WHERE dv <= 2.5*1.4826*mad + 0.001 GROUP BY 1""")
+@query("""WITH s AS (SELECT l_partkey AS k, l_quantity/50.0 AS r, l_discount*10 AS g, l_tax*12 AS b, l_orderkey, row_number() OVER (PARTITION BY l_partkey ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber) AS pos FROM lineitem), t AS (SELECT * FROM s WHERE pos <= 5),
+m AS (SELECT k, quantile_cont(r,0.5) AS mr, quantile_cont(g,0.5) AS mg, quantile_cont(b,0.5) AS mb, count(*) AS views FROM t GROUP BY 1), w AS (SELECT t.*, mr, mg, mb, views, sqrt((r-mr)*(r-mr)+(g-mg)*(g-mg)+(b-mb)*(b-mb)) AS away FROM t JOIN m USING (k)), a AS (SELECT k, quantile_cont(away,0.5) AS mad FROM w GROUP BY 1),
+x AS (SELECT k, quantile_cont(r,0.5) AS r, quantile_cont(g,0.5) AS g, quantile_cont(b,0.5) AS b, count(*) AS kept FROM w JOIN a USING (k) WHERE round(away,9) <= round(2.5*mad+0.001,9) GROUP BY 1), y AS (SELECT k, any_value(mr) AS mr, any_value(mg) AS mg, any_value(mb) AS mb, any_value(views) AS views, any_value(mad) AS mad, arg_min(l_orderkey, pos) AS frame FROM w JOIN a USING (k) GROUP BY 1)
+SELECT k AS l_partkey, round(coalesce(r,mr),5)+0.0 AS r, round(coalesce(g,mg),5)+0.0 AS g, round(coalesce(b,mb),5)+0.0 AS b, CAST(views AS INT) AS views, CAST(coalesce(kept,0) AS INT) AS kept, round(mad,5)+0.0 AS mad, CAST(floor(least(greatest(round(255.0*(1.0-(CASE WHEN views>=2 THEN mad ELSE 0.15 END)/0.15),6),0),255)) AS INT) AS conf, frame FROM y LEFT JOIN x USING (k)""")
 def robust_median(spark, d):
-    return A.robust_median(table(spark, d, "lineitem"), "l_partkey", "l_extendedprice").select("l_partkey", "kept", r("mad").alias("mad"), r("median").alias("median"))
+    """The five best samples of each key, fused without their outliers."""
+    li = table(spark, d, "lineitem").withColumns({"r": F.col("l_quantity") / 50.0, "g": F.col("l_discount") * 10, "b": F.col("l_tax") * 12})
+    fused = A.robust_colour(li, "l_partkey", ["r", "g", "b"], "l_extendedprice", ["l_orderkey", "l_linenumber"])
+    return fused.select("l_partkey", *[r(c, 5).alias(c) for c in "rgb"], "views", "kept", r("mad", 5).alias("mad"), "conf", F.col("best_l_orderkey").alias("frame"))
 
 
-@query("""WITH s AS (SELECT l_partkey, l_suppkey%7 AS c, sum(l_quantity) AS w, count(*) AS n FROM lineitem GROUP BY 1,2), t AS (SELECT l_partkey, arg_min(c, (-round(w,6), c)) AS winner, max(round(w,6)) AS top, sum(w) AS total, sum(n) AS views FROM s GROUP BY 1)
-SELECT l_partkey, winner, CAST(round_even(255*top/total, 0) AS INT) AS conf, CAST(views AS BIGINT) AS views FROM t""")
+@query("""WITH s AS (SELECT l_partkey, l_suppkey%7 AS c, sum(l_discount) AS w, count(*) AS n FROM lineitem GROUP BY 1,2), t AS (SELECT l_partkey, arg_min(c, (-round(w,6), c)) AS winner, max(round(w,6)) AS top, sum(w) AS total, sum(n) AS views FROM s GROUP BY 1),
+b AS (SELECT l_partkey, arg_min(l_orderkey, (-l_discount, l_orderkey, l_linenumber)) AS frame FROM lineitem WHERE l_discount > 0 GROUP BY 1)
+SELECT l_partkey, CASE WHEN total > 0 THEN winner ELSE 255 END AS winner, CAST(CASE WHEN total > 0 THEN round_even(round(255*top/total, 6), 0) ELSE 0 END AS INT) AS conf, CAST(least(views,255) AS BIGINT) AS views, frame FROM t LEFT JOIN b USING (l_partkey)""")
 def weighted_vote(spark, d):
     li = table(spark, d, "lineitem").withColumn("c", F.col("l_suppkey") % 7)
-    return A.vote(li, "l_partkey", "c", "l_quantity", ["l_orderkey", "l_linenumber"]).select("l_partkey", "winner", "conf", "views")
+    return A.vote(li, "l_partkey", "c", "l_discount", ["l_orderkey", "l_linenumber"]).select("l_partkey", "winner", "conf", "views", F.col("best_l_orderkey").alias("frame"))
 
 
 @query("SELECT l_suppkey, arg_max(l_extendedprice, (l_shipdate, l_orderkey, l_linenumber)) AS l_extendedprice FROM lineitem GROUP BY 1")
@@ -233,10 +241,15 @@ def strata_histograms(spark, d):
     return b.groupingSets([[flag, F.col("bin")], [status, F.col("bin")], [F.col("bin")]], flag, status, F.col("bin")).agg(F.count("*").alias("n"))
 
 
-@query("""WITH h AS (SELECT l_returnflag, least(greatest(CAST(floor(l_extendedprice/500) AS INT),0),199) AS bin, count(*) AS n FROM lineitem GROUP BY 1,2), c AS (SELECT *, sum(n) OVER (PARTITION BY l_returnflag ORDER BY bin)/sum(n) OVER (PARTITION BY l_returnflag) AS p FROM h) SELECT l_returnflag, (min(bin)+0.5)*500.0 AS q FROM c WHERE p >= 0.95 GROUP BY 1""")
+HIST = "h AS (SELECT l_returnflag AS k, least(greatest(CAST(floor(l_extendedprice/1200/0.05) AS INT),0),1999) AS bin, count(*) AS c FROM lineitem GROUP BY 1,2)"
+
+
+@query(f"""WITH {HIST}, w AS (SELECT *, (bin+0.5)*0.05 AS x, sum(c) OVER (PARTITION BY k) AS n, sum(c) OVER (PARTITION BY k ORDER BY bin)/sum(c) OVER (PARTITION BY k) AS cdf FROM h), m AS (SELECT k, min(x) FILTER (cdf >= 0.5) AS median FROM w GROUP BY 1), v AS (SELECT k, abs(x-median) AS dev, c, n FROM w JOIN m USING (k)), u AS (SELECT k, dev, sum(c) OVER (PARTITION BY k ORDER BY dev)/n AS cdf FROM v), a AS (SELECT k, min(dev) FILTER (cdf >= 0.5) AS mad FROM u GROUP BY 1)
+SELECT k AS l_returnflag, CAST(any_value(n) AS BIGINT) AS n, round(sum(c*x)/any_value(n),4) AS mean, round(any_value(median),4) AS median, round(any_value(mad),4) AS mad, round(min(x) FILTER (cdf>=0.25),4) AS p25, round(min(x) FILTER (cdf>=0.75),4) AS p75, round(min(x) FILTER (cdf>=0.9),4) AS p90, round(min(x) FILTER (cdf>=0.95),4) AS p95, round(min(x) FILTER (cdf>=0.99),4) AS p99, round(100.0*coalesce(sum(c) FILTER (x>20),0)/any_value(n),4) AS pct_above, round(100.0*coalesce(sum(c) FILTER (x<5),0)/any_value(n),4) AS pct_below FROM w JOIN m USING (k) JOIN a USING (k) GROUP BY 1""")
 def histogram_quantile(spark, d):
-    h = table(spark, d, "lineitem").groupBy("l_returnflag", A.binned("l_extendedprice", 500.0, 200).alias("bin")).agg(F.count("*").alias("n"))
-    return A.histogram_quantile(h, "l_returnflag", "bin", "n", 500.0, 0.95)
+    binned = table(spark, d, "lineitem").select("l_returnflag", A.binned(F.col("l_extendedprice") / 1200, 0.05, 2000).alias("bin"))
+    found = A.histogram_report(binned.groupBy("l_returnflag", "bin").agg(F.count("*").alias("c")), "l_returnflag", "bin", "c", 0.05)
+    return found.select("l_returnflag", "n", *[F.round(c, 4).alias(c) for c in found.columns[2:]])
 
 
 @query("SELECT quality AS truth, toxic AS predicted, count(*) AS n FROM labels GROUP BY 1,2")
@@ -372,19 +385,38 @@ def json_field(spark, d):
 AROUND = "SELECT a.i, a.j, {f} AS value FROM c a JOIN c b ON abs(a.i-b.i)<=1 AND abs(a.j-b.j)<=1 GROUP BY 1,2"
 
 
-@query(f"{CELLS}, m AS (SELECT a.i, a.j, min(b.value) AS value FROM c a JOIN c b ON abs(a.i-b.i)<=1 AND abs(a.j-b.j)<=1 GROUP BY 1,2), x AS (SELECT a.i, a.j, max(b.value) AS o FROM m a JOIN m b ON abs(a.i-b.i)<=1 AND abs(a.j-b.j)<=1 GROUP BY 1,2) SELECT c.i, c.j, round(least(value,o),4)+0.0 AS value FROM c JOIN x USING (i,j)")
+ZW, ZH = 72, 36
+ZB = f"""WITH {PT}, az AS (SELECT vec_id, z, 180.0-degrees(atan2(y,x)) AS q, degrees(atan2(z,sqrt(x*x+y*y))) AS el, sqrt(x*x+y*y+z*z) AS r FROM p), uv AS (SELECT vec_id, r, CAST(trunc((q-360.0*floor(q/360.0))/360.0*{ZW}) AS BIGINT)%{ZW} AS j, least(greatest(CAST(trunc((90.0-el)/180.0*{ZH}) AS BIGINT),0),{ZH - 1}) AS i FROM az), c AS (SELECT i, j, min(r) AS value FROM uv GROUP BY 1,2),
+g AS (SELECT a AS i, b AS j FROM range({ZH}) t(a), range({ZW}) s(b)), d3 AS (SELECT a AS di, b AS dj FROM (VALUES (-1),(0),(1)) t(a), (VALUES (-1),(0),(1)) s(b)),
+nb AS (SELECT g.i, g.j, coalesce(c.value,1e6) AS value FROM g, d3 LEFT JOIN c ON c.i=g.i+di AND c.j=(g.j+dj+{ZW})%{ZW} WHERE g.i+di BETWEEN 0 AND {ZH - 1}), ero AS (SELECT i, j, min(value) AS value FROM nb GROUP BY 1,2), dil AS (SELECT g.i, g.j, max(e.value) AS value FROM g, d3 JOIN ero e ON e.i=g.i+di AND e.j=(g.j+dj+{ZW})%{ZW} GROUP BY 1,2),
+cl AS (SELECT dil.i, dil.j, least(dil.value, coalesce(c.value,1e6)) AS value FROM dil LEFT JOIN c USING (i,j)), cd AS (SELECT * FROM cl WHERE value < 1e6), sp AS (SELECT g.i, g.j, max(cd.value)-min(cd.value) AS spread FROM g, d3 JOIN cd ON cd.i=g.i+di AND cd.j=(g.j+dj+{ZW})%{ZW} GROUP BY 1,2)"""
+
+
+def _seen(spark, d):
+    """Points with range and cell of a small panorama."""
+    p = spatial_points(spark, d)
+    at = S.panorama(F.col("x"), F.col("y"), F.col("z"), ZW, ZH)
+    row, column = S.cell_of(at["u"], at["v"], ZW, ZH)
+    return p.select("vec_id", at["r"].alias("r"), row.alias("i"), column.alias("j"))
+
+
+def _depth(spark, d):
+    return _seen(spark, d).groupBy("i", "j").agg(F.min("r").alias("value"))
+
+
+@query(f"{ZB} SELECT i, j, round(value,4)+0.0 AS value FROM cd")
 def closed_depth(spark, d):
-    return R.closed_depth(_cells(spark, d)).select("i", "j", r("value").alias("value"))
+    return R.closed_depth(_depth(spark, d), ZW, ZH).select("i", "j", r("value").alias("value"))
 
 
-@query(f"{CELLS} {AROUND.format(f='round(max(b.value)-min(b.value),4)+0.0')}")
+@query(f"{ZB} SELECT i, j, round(spread,4)+0.0 AS value FROM sp")
 def range_spread(spark, d):
-    return R.range_spread(_cells(spark, d)).select("i", "j", r("value").alias("value"))
+    return R.range_spread(R.closed_depth(_depth(spark, d), ZW, ZH), ZW, ZH).select("i", "j", r("value").alias("value"))
 
 
-@query(f"{CELLS}, s AS (SELECT i, j, value, unnest(range(-2,3)) AS di FROM c), q AS (SELECT *, unnest(range(-2,3)) AS dj FROM s) SELECT i+di AS i, j+dj AS j, round(arg_min(value, (di*di+dj*dj, -di, -dj)),4)+0.0 AS value FROM q WHERE di*di+dj*dj <= 4 GROUP BY 1,2")
+@query(f"{ZB}, s AS (SELECT i, j, value, unnest(range(-2,3)) AS di FROM c), q AS (SELECT *, unnest(range(-2,3)) AS dj FROM s) SELECT i+di AS i, (j+dj+{ZW})%{ZW} AS j, round(arg_min(value, (di*di+dj*dj, -di, -dj)),4)+0.0 AS value FROM q WHERE di*di+dj*dj <= 4 AND i+di BETWEEN 0 AND {ZH - 1} GROUP BY 1,2")
 def hole_fill(spark, d):
-    return R.filled(_cells(spark, d), 2).select("i", "j", r("value").alias("value"))
+    return R.filled(_depth(spark, d), 2, ZW, ZH).select("i", "j", r("value").alias("value"))
 
 
 @query(f"{CELLS} SELECT a.i, a.j, round(max(abs(a.value-b.value)),4)+0.0 AS value FROM c a JOIN c b ON abs(a.i-b.i)+abs(a.j-b.j)=1 GROUP BY 1,2")
@@ -392,29 +424,31 @@ def curb_jump(spark, d):
     return R.largest_jump(_cells(spark, d)).select("i", "j", r("value").alias("value"))
 
 
-@query(f"{CELLS} SELECT vec_id, z <= value + greatest(0.15, 0.03*z) AS visible FROM p JOIN c ON CAST(floor(x/2) AS BIGINT)=i AND CAST(floor(y/2) AS BIGINT)=j")
+@query(f"{ZB}, el AS (SELECT vec_id, r, i, j, abs(radians(90.0-(i+0.5)/{ZH}*180.0)) AS el FROM uv) SELECT vec_id, value IS NOT NULL AND r <= value + greatest(0.15, 0.03*r, least(coalesce(spread,0),2.0), least(0.12/greatest(sin(el),0.05),2.0)) AS visible FROM el LEFT JOIN cd USING (i,j) LEFT JOIN sp USING (i,j)")
 def visibility_join(spark, d):
-    p = spatial_points(spark, d).withColumns({"i": F.floor(F.col("x") / 2), "j": F.floor(F.col("y") / 2)})
-    return p.join(_cells(spark, d), ["i", "j"]).select("vec_id", S.visible(F.col("z"), F.col("value")).alias("visible"))
+    """Which points the closed depth of their cell does not hide."""
+    closed = R.closed_depth(_depth(spark, d), ZW, ZH)
+    around = closed.join(R.range_spread(closed, ZW, ZH).withColumnRenamed("value", "spread"), ["i", "j"], "left")
+    seen = _seen(spark, d).join(around, ["i", "j"], "left")
+    return seen.select("vec_id", S.visible(F.col("r"), F.col("value"), F.col("spread"), F.col("i"), ZH).alias("visible"))
 
 
 # ---- graph and clustering
 
-VOX = f"""WITH RECURSIVE {PT}, q AS (SELECT vec_id, CAST(floor(x/4) AS BIGINT) AS i, CAST(floor(y/4) AS BIGINT) AS j, CAST(floor(z/4) AS BIGINT) AS k FROM p), n AS (SELECT i,j,k,min(vec_id) AS node FROM q GROUP BY 1,2,3), ed AS (SELECT a.node AS a, b.node AS b FROM n a JOIN n b ON abs(a.i-b.i)<=1 AND abs(a.j-b.j)<=1 AND abs(a.k-b.k)<=1),
+VOX = f"""WITH RECURSIVE {PT}, q AS (SELECT vec_id, CAST(floor(x/4) AS BIGINT) AS i, CAST(floor(y/4) AS BIGINT) AS j, CAST(floor(z/4) AS BIGINT) AS k FROM p), n AS (SELECT i,j,k,min(vec_id) AS node FROM q GROUP BY 1,2,3), ed AS (SELECT a.node AS a, b.node AS b FROM n a JOIN n b ON (a.i-b.i)*(a.i-b.i)+(a.j-b.j)*(a.j-b.j)+(a.k-b.k)*(a.k-b.k) <= 2),
 w AS (SELECT node AS node, node AS c FROM n UNION SELECT ed.b, w.c FROM w JOIN ed ON ed.a=w.node), l AS (SELECT node, min(c) AS cluster FROM w GROUP BY 1), v AS (SELECT vec_id, cluster FROM q JOIN n USING (i,j,k) JOIN l USING (node))"""
 
 
-@query()
+@query(f"{VOX} SELECT vec_id, cluster FROM v")
 def voxel_components(spark, d):
-    return G.voxel_clusters(spatial_points(spark, d), "vec_id", 4.0)
+    return G.voxel_clusters(spatial_points(spark, d), "vec_id", 4.0, 6.0)
 
 
-@query()
+@query(f"{VOX}, s AS (SELECT cluster, count(*) AS n FROM v GROUP BY 1 HAVING count(*) >= 3) SELECT cluster, n, row_number() OVER (ORDER BY n DESC, cluster) - 1 AS rank FROM s")
 def cluster_size_rank(spark, d):
-    from pyspark.sql.window import Window
-
-    sizes = G.voxel_clusters(spatial_points(spark, d), "vec_id", 4.0).groupBy("cluster").agg(F.count("*").alias("n"))
-    return sizes.where("n >= 3").withColumn("rank", F.row_number().over(Window.orderBy(F.desc("n"), "cluster")) - 1)
+    sizes = G.voxel_clusters(spatial_points(spark, d), "vec_id", 4.0, 6.0).groupBy("cluster").agg(F.count("*").alias("n")).where("n >= 3")
+    ranked = sampling.ranked(sizes.withColumn("minus", -F.col("n")), ["minus", "cluster"])
+    return ranked.select("cluster", "n", F.col("rank").cast("bigint").alias("rank"))
 
 
 # ---- estimators
@@ -445,13 +479,16 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest_frame_asof(spark, sf_dir)
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    from tidemark.plans import survey_queries  # noqa: F401  registers its queries
+def _load() -> None:
+    """Imports the modules that register further queries."""
+    from tidemark.plans import cluster_queries, frame_queries, merge_queries, pose_queries, report_queries, store_queries, survey_queries  # noqa: F401
 
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    _load()
     return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    from tidemark.plans import survey_queries  # noqa: F401
-
+    _load()
     return dict(ORACLES)

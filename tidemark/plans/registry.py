@@ -12,6 +12,9 @@ ORACLES: dict[str, str] = {}
 
 EV = "e AS (SELECT event_id, user_id, event_type, value, epoch_us(ts)/1e6 AS t FROM events)"
 PT = "p AS (SELECT vec_id, label, embedding[1]::DOUBLE*100 AS x, embedding[2]::DOUBLE*100 AS y, embedding[3]::DOUBLE*100 AS z FROM embeddings)"
+#: Points with the attributes of a scan, and the frames of a camera (every 25th point) with their poses.
+PTS = PT + """, pt AS (SELECT vec_id AS id, x, y, z, label AS cls, vec_id*0.37::DOUBLE AS gps, vec_id%7 AS psid, (vec_id*37)%256 AS r, (vec_id*73)%256 AS g, (vec_id*151)%256 AS b, 1+vec_id%3 AS nret, (vec_id*977)%65536 AS intensity, CAST(floor(x/20)+10 AS BIGINT)*100+CAST(floor(y/20)+10 AS BIGINT) AS tile FROM p)"""
+FRS = PTS + """, fr AS (SELECT id//25 AS frame, gps AS t, x AS e, y AS n, z+2 AS h, (id*13)%360-180.0::DOUBLE AS yaw, (id%7)-3.0::DOUBLE AS roll, (id%5)-2.0::DOUBLE AS pitch, cls AS pass_id FROM pt WHERE id%25=0)"""
 W = "OVER (PARTITION BY user_id ORDER BY t, event_id)"
 
 

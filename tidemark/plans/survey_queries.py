@@ -113,19 +113,31 @@ def ciede2000(spark, d):
 NINE = "(SELECT a.i, a.j, b.i-a.i AS di, b.j-a.j AS dj, b.value AS v FROM c a JOIN c b ON abs(a.i-b.i)<=1 AND abs(a.j-b.j)<=1)"
 
 
-@query(f"{CELLS} SELECT i, j, round(sum(v)/9,4)+0.0 AS value FROM {NINE} GROUP BY 1,2 HAVING count(*)=9")
+IMAGE = "n AS (SELECT count(*) // 20 AS h FROM part), c AS (SELECT p_partkey // 20 AS i, p_partkey % 20 AS j, (p_size*5)%256 AS value FROM part), d3 AS (SELECT a AS di, b AS dj FROM (VALUES (-1),(0),(1)) t(a), (VALUES (-1),(0),(1)) s(b)), nine AS (SELECT a.i, a.j, di, dj, b.value AS v FROM c a, d3, n JOIN c b ON b.i = CASE WHEN a.i+di < 0 THEN 1 WHEN a.i+di >= h THEN h-2 ELSE a.i+di END AND b.j = CASE WHEN a.j+dj < 0 THEN 1 WHEN a.j+dj >= 20 THEN 18 ELSE a.j+dj END)"
+
+
+def _image(spark, d):
+    """Parts as an image without gaps, 20 columns wide, and its height."""
+    part = table(spark, d, "part")
+    return part.select(F.floor(F.col("p_partkey") / 20).alias("i"), (F.col("p_partkey") % 20).alias("j"), (F.col("p_size") * 5 % 256).alias("value")), part.count() // 20
+
+
+@query(f"WITH {IMAGE} SELECT i, j, round_even(sum(v)/9.0, 0) AS value FROM nine GROUP BY 1,2")
 def footprint_mean(spark, d):
-    return R.mean3(_cells(spark, d)).select("i", "j", r("value").alias("value"))
+    image, h = _image(spark, d)
+    return R.mean3(image, 20, h).select("i", "j", "value")
 
 
-@query(f"{CELLS} SELECT i, j, round(sqrt(pow(sum(v*di*(2-abs(dj))),2)+pow(sum(v*dj*(2-abs(di))),2))/8,4)+0.0 AS value FROM {NINE} GROUP BY 1,2 HAVING count(*)=9")
+@query(f"WITH {IMAGE} SELECT i, j, round(sqrt(pow(sum(v*di*(2-abs(dj))),2)+pow(sum(v*dj*(2-abs(di))),2))/8,4)+0.0 AS value FROM nine GROUP BY 1,2")
 def gradient_magnitude(spark, d):
-    return R.gradient(_cells(spark, d)).select("i", "j", r("value").alias("value"))
+    image, h = _image(spark, d)
+    return R.gradient(image, 20, h).select("i", "j", r("value").alias("value"))
 
 
-@query(f"{CELLS}, l AS (SELECT i, j, sum(CASE WHEN di=0 AND dj=0 THEN -4*v WHEN di=0 OR dj=0 THEN v ELSE 0 END) AS v FROM {NINE} GROUP BY 1,2 HAVING count(*)=9) SELECT CAST(count(*) AS BIGINT) AS n, round(var_pop(v),3) AS sharpness FROM l")
+@query(f"WITH {IMAGE}, l AS (SELECT i, j, sum(CASE WHEN di=0 AND dj=0 THEN -4*v WHEN di=0 OR dj=0 THEN v ELSE 0 END) AS v FROM nine GROUP BY 1,2) SELECT CAST(count(*) AS BIGINT) AS n, round(var_pop(v),3) AS sharpness FROM l")
 def laplacian_sharpness(spark, d):
-    return R.laplacian(_cells(spark, d)).agg(F.count("*").alias("n"), F.round(F.var_pop("value"), 3).alias("sharpness"))
+    image, h = _image(spark, d)
+    return R.laplacian(image, 20, h).agg(F.count("*").alias("n"), F.round(F.var_pop("value"), 3).alias("sharpness"))
 
 
 @query(f"{CELLS} SELECT a.i, a.j, round(quantile_cont(b.value,0.5),4)+0.0 AS value FROM c a JOIN c b ON abs(a.i-b.i)<=2 AND abs(a.j-b.j)<=2 GROUP BY 1,2")
@@ -136,9 +148,36 @@ def median_filter(spark, d):
 TAPS = """f AS (SELECT vec_id, z, x/2-0.5 AS fi, y/2-0.5 AS fj FROM p), o AS (SELECT unnest([0,0,1,1]) AS a, unnest([0,1,0,1]) AS b), t AS (SELECT vec_id, z, floor(fi)+a AS i, floor(fj)+b AS j, (CASE a WHEN 1 THEN fi-floor(fi) ELSE 1-(fi-floor(fi)) END)*(CASE b WHEN 1 THEN fj-floor(fj) ELSE 1-(fj-floor(fj)) END) AS w FROM f, o)"""
 
 
-@query(f"{CELLS}, {TAPS} SELECT vec_id, round(sum(w*value),4)+0.0 AS value FROM t JOIN c USING (i,j) GROUP BY 1 HAVING count(*)=4")
+PLACES = "q AS (SELECT vec_id, x-20*floor(x/20) AS u, y+5 AS v FROM p)"
+
+
+def _places(spark, d):
+    return spatial_points(spark, d).select("vec_id", F.col("x").alias("u"), (F.col("y") + 5).alias("v"))
+
+
+@query(f"WITH {PT}, {IMAGE}, {PLACES}, f AS (SELECT vec_id, u-0.5 AS fx, least(greatest(least(greatest(v,0),h-1)-0.5,0),h-1) AS fy, h FROM q, n), o AS (SELECT a, b FROM (VALUES (0),(1)) t(a), (VALUES (0),(1)) s(b)), t AS (SELECT vec_id, least(floor(fy)+b,h-1) AS i, (floor(fx)+a+20)%20 AS j, (CASE a WHEN 1 THEN fx-floor(fx) ELSE 1-(fx-floor(fx)) END)*(CASE b WHEN 1 THEN fy-floor(fy) ELSE 1-(fy-floor(fy)) END) AS w FROM f, o) SELECT vec_id, round(sum(w*value),4)+0.0 AS value FROM t JOIN c USING (i,j) GROUP BY 1")
 def bilinear_sample(spark, d):
-    return R.bilinear(spatial_points(spark, d), _cells(spark, d), "vec_id", 2.0).select("vec_id", r("value").alias("value"))
+    image, h = _image(spark, d)
+    return R.image_bilinear(_places(spark, d), image, "vec_id", 20, h).select("vec_id", r("value").alias("value"))
+
+
+@query(f"WITH {PT}, {IMAGE}, {PLACES}, t AS (SELECT vec_id, floor(least(greatest(v,0),h-1)) AS i, floor(u)%20 AS j FROM q, n) SELECT vec_id, value FROM t JOIN c USING (i,j)")
+def nearest_sample(spark, d):
+    image, h = _image(spark, d)
+    return R.image_nearest(_places(spark, d), image, "vec_id", 20, h).select("vec_id", "value")
+
+
+@query(f"WITH {PT}, {IMAGE}, {PLACES}, m AS (SELECT i, j, round_even(sum(v)/9.0, 0) AS value FROM nine GROUP BY 1,2), f AS (SELECT vec_id, u-0.5 AS fx, least(greatest(least(greatest(v,0),h-1)-0.5,0),h-1) AS fy, h FROM q, n), o AS (SELECT a, b FROM (VALUES (0),(1)) t(a), (VALUES (0),(1)) s(b)), t AS (SELECT vec_id, least(floor(fy)+b,h-1) AS i, (floor(fx)+a+20)%20 AS j, (CASE a WHEN 1 THEN fx-floor(fx) ELSE 1-(fx-floor(fx)) END)*(CASE b WHEN 1 THEN fy-floor(fy) ELSE 1-(fy-floor(fy)) END) AS w FROM f, o) SELECT vec_id, round(sum(w*value),3)+0.0 AS value FROM t JOIN m USING (i,j) GROUP BY 1")
+def footprint_sample(spark, d):
+    """3x3 means of the image, sampled between cell centres."""
+    image, h = _image(spark, d)
+    return R.image_bilinear(_places(spark, d), R.mean3(image, 20, h), "vec_id", 20, h).select("vec_id", r("value", 3).alias("value"))
+
+
+@query(f"WITH {PT}, {IMAGE}, {PLACES}, m AS (SELECT i, j, sqrt(pow(sum(v*di*(2-abs(dj))),2)+pow(sum(v*dj*(2-abs(di))),2))/8 AS value FROM nine GROUP BY 1,2), f AS (SELECT vec_id, u-0.5 AS fx, least(greatest(least(greatest(v,0),h-1)-0.5,0),h-1) AS fy, h FROM q, n), o AS (SELECT a, b FROM (VALUES (0),(1)) t(a), (VALUES (0),(1)) s(b)), t AS (SELECT vec_id, least(floor(fy)+b,h-1) AS i, (floor(fx)+a+20)%20 AS j, (CASE a WHEN 1 THEN fx-floor(fx) ELSE 1-(fx-floor(fx)) END)*(CASE b WHEN 1 THEN fy-floor(fy) ELSE 1-(fy-floor(fy)) END) AS w FROM f, o) SELECT vec_id, round(sum(w*value),3)+0.0 AS value FROM t JOIN m USING (i,j) GROUP BY 1")
+def gradient_sample(spark, d):
+    image, h = _image(spark, d)
+    return R.image_bilinear(_places(spark, d), R.gradient(image, 20, h), "vec_id", 20, h).select("vec_id", r("value", 3).alias("value"))
 
 
 @query(f"""{CELLS}, s AS (SELECT i, j, value, unnest(range(-2,3)) AS di FROM c), q AS (SELECT *, unnest(range(-2,3)) AS dj FROM s), d AS (SELECT i+di AS i, j+dj AS j, arg_min(value, (di*di+dj*dj, -di, -dj)) AS ground FROM q WHERE di*di+dj*dj <= 4 GROUP BY 1,2), {TAPS}
@@ -163,16 +202,15 @@ def distance_to_boundary(spark, d):
     return found.select("i", "j", F.col("value").alias("label"), F.round("distance", 4).alias("distance"), F.round(F.least(F.lit(1.0), F.col("distance") / 3.0), 4).alias("factor"))
 
 
-@query(f"""{LAB}, e AS (SELECT DISTINCT a.i, a.j FROM lb a JOIN lb b ON abs(a.i-b.i)+abs(a.j-b.j)=1 WHERE a.value=0 AND b.value<>0), n AS (SELECT DISTINCT lb.i, lb.j, lb.value FROM lb JOIN e ON abs(lb.i-e.i)<=1 AND abs(lb.j-e.j)<=1),
-m AS (SELECT n.i, n.j, n.value=0 AS a, c.value < -4 AS b FROM n JOIN c USING (i,j)) SELECT CAST(count(*) FILTER (a AND b) AS BIGINT) AS both_, CAST(count(*) FILTER (a OR b) AS BIGINT) AS either, round(count(*) FILTER (a AND b)/count(*) FILTER (a OR b),5) AS iou FROM m""")
+@query("""WITH c AS (SELECT p_partkey // 20 AS i, p_partkey % 20 AS j, p_size % 4 AS gt, (p_size + (p_partkey % 7 = 0)::INT) % 3 AS pred FROM part), v AS (SELECT * FROM c WHERE gt <> 3), k AS (SELECT * FROM (VALUES (0),(1),(2)) t(cls), (VALUES (1),(2)) s(reach)),
+g AS (SELECT DISTINCT cls, reach, a.i, a.j FROM v a JOIN k ON a.gt=cls JOIN v b ON b.gt<>cls AND (a.i-b.i)*(a.i-b.i)+pow(least(abs(a.j-b.j),20-abs(a.j-b.j)),2) <= reach*reach), q AS (SELECT DISTINCT cls, reach, a.i, a.j FROM v a JOIN k ON a.pred=cls JOIN v b ON b.pred<>cls AND (a.i-b.i)*(a.i-b.i)+pow(least(abs(a.j-b.j),20-abs(a.j-b.j)),2) <= reach*reach)
+SELECT cls, reach, count(*) FILTER (g.i IS NOT NULL AND q.i IS NOT NULL) AS both_, count(*) AS either FROM g FULL JOIN q USING (cls, reach, i, j) GROUP BY 1,2""")
 def boundary_iou(spark, d):
-    """Agreement of two labellings within a cell of the first one's boundary."""
-    c, labels = _cells(spark, d), _labels(spark, d)
-    sides = R.spread(labels).where(F.abs("di") + F.abs("dj") == 1).select("i", "j", F.col("value").alias("other"))
-    edge = labels.where("value = 0").join(sides.where("other <> 0"), ["i", "j"], "left_semi")
-    m = labels.join(R.near_mask(edge, 1), ["i", "j"]).join(c.withColumnRenamed("value", "z"), ["i", "j"])
-    a, b = F.col("value") == 0, F.col("z") < -4
-    return m.agg(F.count_if(a & b).alias("both_"), F.count_if(a | b).alias("either")).withColumn("iou", F.round(F.try_divide("both_", "either"), 5))
+    """Cells of a class near another labelled class, in truth and prediction: how many are both, and either; columns wrap."""
+    c = table(spark, d, "part").select(F.floor(F.col("p_partkey") / 20).alias("i"), (F.col("p_partkey") % 20).alias("j"), (F.col("p_size") % 4).alias("gt"), ((F.col("p_size") + (F.col("p_partkey") % 7 == 0).cast("int")) % 3).alias("pred")).where("gt <> 3")
+    edges = [R.near_other(c.select("i", "j", F.col(x).alias("value")), reach, 20).select(F.col("value").alias("cls"), F.lit(reach).alias("reach"), "i", "j", F.lit(x).alias("side")) for x in ("gt", "pred") for reach in (1, 2)]
+    each = edges[0].union(edges[1]).union(edges[2]).union(edges[3]).groupBy("cls", "reach", "i", "j").agg(F.count("*").alias("n"))
+    return each.groupBy("cls", "reach").agg(F.count_if(F.col("n") == 2).alias("both_"), F.count("*").alias("either"))
 
 
 @query(f"{CELLS}, s AS (SELECT unnest(range(-2,3)) AS shift), m AS (SELECT a.value AS x, b.value AS y, shift FROM c b, s, c a WHERE a.i=b.i AND a.j=((b.j+shift)%64+64)%64) SELECT CAST(shift AS INT) AS shift, round(corr(x,y),5) AS ncc, count(*) AS n FROM m GROUP BY 1")
@@ -331,21 +369,21 @@ def product_merge(spark, d):
     return merging.merged(base, "o_orderkey", own, o.select("o_orderkey", F.length("o_orderpriority").alias("label")), clusters).select("o_orderkey", "colour", "fallback", "label", "cluster")
 
 
-BANDS = f"WITH {PT}, k AS (SELECT CAST(floor(x/4) AS BIGINT) AS i, CAST(floor(y/4) AS BIGINT) AS j, CASE WHEN z < 0 THEN label END AS low, CASE WHEN z >= 0 THEN label END AS high FROM p), hi AS (SELECT i, j, max(high) AS high FROM k GROUP BY 1,2)"
+BANDS = f"WITH {PT}, k AS (SELECT CAST(floor(x/4) AS BIGINT) AS i, CAST(floor(y/4) AS BIGINT) AS j, CASE WHEN z < 0 THEN label END AS low, CASE WHEN z >= 0 THEN label END AS high FROM p)"
 
 
-@query(f"""{BANDS}, lo AS (SELECT DISTINCT i, j, low FROM k WHERE low IS NOT NULL), v AS (SELECT low, hh.high, count(*) AS n FROM lo LEFT JOIN (SELECT i, j, low, max(high) AS high FROM (SELECT k.i, k.j, l.low, k.high FROM k JOIN lo l USING (i,j)) GROUP BY 1,2,3) hh USING (i,j,low) GROUP BY 1,2), t AS (SELECT low, sum(n) AS total, max((n, -high)) FILTER (high IS NOT NULL) AS m FROM v GROUP BY 1) SELECT low, -m[2] AS high FROM t WHERE m[1] >= 0.1*total""")
+@query(f"""{BANDS}, n AS (SELECT i, j, high, count(*) AS n FROM k WHERE high IS NOT NULL GROUP BY 1,2,3), own AS (SELECT i, j, arg_max(high, (n, -high)) AS own FROM n GROUP BY 1,2), grown AS (SELECT i+a AS i, j+b AS j, max(own) AS grown FROM own, (VALUES (-1),(0),(1)) t(a), (VALUES (-1),(0),(1)) s(b) GROUP BY 1,2),
+lo AS (SELECT low, coalesce(own, grown) AS under, count(*) AS n FROM k LEFT JOIN own USING (i,j) LEFT JOIN grown USING (i,j) WHERE low IS NOT NULL GROUP BY 1,2), t AS (SELECT low, sum(n) AS total, max((n, -under)) FILTER (under IS NOT NULL) AS m FROM lo GROUP BY 1) SELECT low, -m[2] AS high FROM t WHERE m[1] >= 0.1*total""")
 def band_attach(spark, d):
     k = spatial_points(spark, d).select(F.floor(F.col("x") / 4).alias("i"), F.floor(F.col("y") / 4).alias("j"), F.when(F.col("z") < 0, F.col("label")).alias("low"), F.when(F.col("z") >= 0, F.col("label")).alias("high"))
-    upper = k.groupBy("i", "j").agg(F.max("high").alias("high"))
-    return merging.attached(k.where("low is not null").select("i", "j", "low").distinct().join(upper, ["i", "j"]), 0.1)
+    return merging.attached(k, 0.1)
 
 
-@query(f"""WITH {PT}, c AS (SELECT DISTINCT CAST(floor(x/4) AS BIGINT) AS i, CAST(floor(y/4) AS BIGINT) AS j, vec_id%37 AS id FROM p), s AS (SELECT id, count(*) AS area FROM c GROUP BY 1), md AS (SELECT median(area) AS m FROM s), n AS (SELECT a.id, b.id AS into_, count(*) AS n FROM c a JOIN s sa ON sa.id=a.id JOIN c b ON abs(a.i-b.i)<=1 AND abs(a.j-b.j)<=1 JOIN s sb ON sb.id=b.id, md WHERE sa.area < 5 AND sb.area >= 5 GROUP BY 1,2)
-SELECT id, -(max((n, -into_)))[2] AS "into" FROM n GROUP BY 1""")
+@query(f"""WITH {PT}, c AS (SELECT vec_id, vec_id%37 AS id, x, y, z FROM p), s AS (SELECT id, count(DISTINCT (floor(x/0.5), floor(y/0.5)))*0.25 AS area FROM c GROUP BY 1), f AS (SELECT arg_min(id, vec_id) AS id, arg_min(x, vec_id) AS x, arg_min(y, vec_id) AS y, arg_min(z, vec_id) AS z FROM c GROUP BY floor(x/2), floor(y/2), floor(z/2)),
+n AS (SELECT a.id, b.id AS into_, count(*) AS n FROM f a JOIN s sa ON sa.id=a.id JOIN f b ON (a.x-b.x)*(a.x-b.x)+(a.y-b.y)*(a.y-b.y)+(a.z-b.z)*(a.z-b.z) <= 25 JOIN s sb ON sb.id=b.id WHERE sa.area < 3.3 AND sb.area >= 3.5 GROUP BY 1,2) SELECT id, -(max((n, -into_)))[2] AS "into" FROM n GROUP BY 1""")
 def fragment_absorb(spark, d):
-    c = spatial_points(spark, d).select(F.floor(F.col("x") / 4).alias("i"), F.floor(F.col("y") / 4).alias("j"), (F.col("vec_id") % 37).alias("id"))
-    return merging.absorbed(c, 5.0, 5.0, 1.0)
+    c = spatial_points(spark, d).select(F.col("vec_id").alias("point"), (F.col("vec_id") % 37).alias("id"), "x", "y", "z")
+    return merging.absorbed(c, "id", 2.0, 5.0, 3.3, 3.5)
 
 
 @query("""WITH p AS (SELECT l_orderkey, max(l_extendedprice)::DOUBLE/1000 AS a, min(l_extendedprice)::DOUBLE/1000+l_orderkey%20 AS b FROM lineitem GROUP BY 1) SELECT CAST(l_orderkey%5 AS BIGINT) AS grp, count(*) AS n, round(quantile_cont(a,0.5),4) AS median_before, round(quantile_cont(b,0.5),4) AS median_after, round(avg(CASE WHEN a-b > 2 THEN 1.0 ELSE 0 END),5) AS improved, round(avg(CASE WHEN b-a > 2 THEN 1.0 ELSE 0 END),5) AS worsened FROM p GROUP BY 1""")

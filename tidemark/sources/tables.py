@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,6 +29,37 @@ def spatial_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select("vec_id", "label", axis(0), axis(1), axis(2))
 
 
+def scan_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Points with the attributes of a scan: class, time, scan line, colour, returns, intensity and the tile they lie in."""
+    i = F.col("vec_id")
+    tile = (F.floor(F.col("x") / 20) + 10) * 100 + F.floor(F.col("y") / 20) + 10
+    return spatial_points(spark, sf_dir).select(
+        i.alias("id"), "x", "y", "z", F.col("label").alias("cls"), (i * 0.37).alias("gps"), (i % 7).alias("psid"), *[(i * k % 256).alias(c) for c, k in (("r", 37), ("g", 73), ("b", 151))],
+        (i % 3 + 1).alias("nret"), (i * 977 % 65536).alias("intensity"), tile.alias("tile"),
+    )
+
+
+def frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Camera frames with their poses: every 25th point of the scan."""
+    p, i = scan_points(spark, sf_dir).where("id % 25 = 0"), F.col("id")
+    angle = lambda c: c.cast("double")
+    return p.select(
+        F.floor(i / 25).alias("frame"), F.col("gps").alias("t"), F.col("x").alias("e"), F.col("y").alias("n"), (F.col("z") + 2).alias("h"),
+        angle(i * 13 % 360 - 180).alias("yaw"), angle(i % 7 - 3).alias("roll"), angle(i % 5 - 2).alias("pitch"), F.col("cls").alias("pass_id"),
+    )
+
+
+def list_tiles(spark: SparkSession, folder: str, suffix: str = "laz") -> DataFrame:
+    """(path, name, length) of the tile files in a folder; their content is not read."""
+    found = spark.read.format("binaryFile").option("pathGlobFilter", f"*.{suffix}").load(folder)
+    return found.select("path", tile_name(F.col("path")).alias("name"), "length").orderBy("path")
+
+
+def tile_name(path: Column) -> Column:
+    """Name of a tile from its file's: the last three characters before the second underscore."""
+    return F.substring(F.regexp_extract(path, r"[^/_]*_([^/_.]*)[^/]*$", 1), -3, 3)
+
+
 def read_raw_frames(spark: SparkSession, path: str) -> DataFrame:
     """Frames by column position of a 17-column CSV file with a header; blank rows are skipped."""
     schema = T.StructType([T.StructField(f"_{i}", T.StringType()) for i in range(RAW_FRAME_COLUMNS)])
