@@ -6,12 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def spread(cells: DataFrame, radius: int = 1, wrap: int | None = None, height: int | None = None) -> DataFrame:
-    """(i, j, di, dj, value): every cell's value at all places within ``radius``; columns wrap at ``wrap``, rows end at ``height``."""
+def spread(cells: DataFrame, radius: int = 1, wrap: int | None = None, height: int | None = None, by: tuple[str, ...] = ()) -> DataFrame:
+    """(by, i, j, di, dj, value): every cell's value at all places within ``radius``; columns wrap at ``wrap``, rows end at ``height``."""
     shifts = F.array(*[F.struct(F.lit(a).alias("di"), F.lit(b).alias("dj")) for a in range(-radius, radius + 1) for b in range(-radius, radius + 1)])
-    each = cells.select("i", "j", "value", F.explode(shifts).alias("s"))
+    each = cells.select(*by, "i", "j", "value", F.explode(shifts).alias("s"))
     j = F.col("j") + F.col("s.dj")
-    out = each.select((F.col("i") + F.col("s.di")).alias("i"), (F.pmod(j, F.lit(wrap)) if wrap else j).alias("j"), "s.di", "s.dj", "value")
+    out = each.select(*by, (F.col("i") + F.col("s.di")).alias("i"), (F.pmod(j, F.lit(wrap)) if wrap else j).alias("j"), "s.di", "s.dj", "value")
     return out.where(F.col("i").between(0, height - 1)) if height else out
 
 
@@ -23,41 +23,42 @@ def _along(cells: DataFrame, axis: str, wrap: int | None, height: int | None) ->
     return moved.where(F.col("i").between(0, height - 1)) if axis == "i" and height else moved
 
 
-def _extreme(cells: DataFrame, f, wrap: int | None, height: int | None) -> DataFrame:
-    """(i, j, value, n): ``f`` (min or max) over the occupied ones of 3x3 cells, row by row and then column by column, and how many there are."""
-    out = cells.select("i", "j", "value", F.lit(1).alias("n"))
+def _extreme(cells: DataFrame, f, wrap: int | None, height: int | None, by: tuple[str, ...]) -> DataFrame:
+    """(by, i, j, value, n): ``f`` (min or max) over the occupied ones of 3x3 cells, row by row and then column by column, and how many there are."""
+    out = cells.select(*by, "i", "j", "value", F.lit(1).alias("n"))
     for axis in ("j", "i"):
-        out = _along(out, axis, wrap, height).groupBy("i", "j").agg(f("value").alias("value"), F.sum("n").alias("n"))
+        out = _along(out, axis, wrap, height).groupBy(*by, "i", "j").agg(f("value").alias("value"), F.sum("n").alias("n"))
     return out
 
 
-def closed_depth(cells: DataFrame, wrap: int, height: int) -> DataFrame:
+def closed_depth(cells: DataFrame, wrap: int, height: int, by: tuple[str, ...] = ()) -> DataFrame:
     """Ranges with small holes filled by the nearer surrounding: 3x3 minimum, then maximum, empty cells being infinitely far.
 
-    Columns wrap, rows end at the border, and no cell gets farther than it was.
-    Both passes go along rows, then columns (3 + 3 copies of a cell instead of 9).
+    Columns wrap, rows end at the border, and no cell gets farther than it was;
+    ``by`` names the columns that tell rasters apart. Both passes go along rows,
+    then columns (3 + 3 copies of a cell instead of 9).
     """
-    nearer = _extreme(cells, F.min, wrap, height).select("i", "j", "value")
-    reached = _extreme(nearer, F.max, wrap, height)
+    nearer = _extreme(cells, F.min, wrap, height, by).select(*by, "i", "j", "value")
+    reached = _extreme(nearer, F.max, wrap, height, by)
     # a maximum is finite if all of the places are: at the upper and lower border there are six
     places = F.when(F.col("i").isin(0, height - 1), 3 * min(2, height)).otherwise(9)
-    opened = reached.where(F.col("n") == places).select("i", "j", F.col("value").alias("opened"))
-    return cells.select("i", "j", "value").join(opened, ["i", "j"], "full").select("i", "j", F.least("value", "opened").alias("value"))
+    opened = reached.where(F.col("n") == places).select(*by, "i", "j", F.col("value").alias("opened"))
+    return cells.select(*by, "i", "j", "value").join(opened, [*by, "i", "j"], "full").select(*by, "i", "j", F.least("value", "opened").alias("value"))
 
 
-def range_spread(cells: DataFrame, wrap: int, height: int) -> DataFrame:
+def range_spread(cells: DataFrame, wrap: int, height: int, by: tuple[str, ...] = ()) -> DataFrame:
     """Largest minus smallest value over 3x3, empty cells left out; columns wrap."""
-    both = cells.select("i", "j", F.struct(F.col("value").alias("lo"), F.col("value").alias("hi")).alias("v"))
+    both = cells.select(*by, "i", "j", F.struct(F.col("value").alias("lo"), F.col("value").alias("hi")).alias("v"))
     for axis in ("j", "i"):
-        both = _along(both, axis, wrap, height).groupBy("i", "j").agg(F.struct(F.min("v.lo").alias("lo"), F.max("v.hi").alias("hi")).alias("v"))
-    return both.select("i", "j", (F.col("v.hi") - F.col("v.lo")).alias("value"))
+        both = _along(both, axis, wrap, height).groupBy(*by, "i", "j").agg(F.struct(F.min("v.lo").alias("lo"), F.max("v.hi").alias("hi")).alias("v"))
+    return both.select(*by, "i", "j", (F.col("v.hi") - F.col("v.lo")).alias("value"))
 
 
-def filled(cells: DataFrame, radius: int, wrap: int | None = None, height: int | None = None) -> DataFrame:
+def filled(cells: DataFrame, radius: int, wrap: int | None = None, height: int | None = None, by: tuple[str, ...] = ()) -> DataFrame:
     """Cells and the empty places within ``radius`` of them, those with the nearest value (ties: upper, then left source); columns wrap, rows end at ``height``."""
     key = F.struct((F.col("di") * F.col("di") + F.col("dj") * F.col("dj")).alias("d"), (-F.col("di")).alias("a"), (-F.col("dj")).alias("b"))
-    near = spread(cells, radius, wrap, height).where(F.col("di") * F.col("di") + F.col("dj") * F.col("dj") <= radius * radius)
-    return near.groupBy("i", "j").agg(F.min_by("value", key).alias("value"))
+    near = spread(cells, radius, wrap, height, by).where(F.col("di") * F.col("di") + F.col("dj") * F.col("dj") <= radius * radius)
+    return near.groupBy(*by, "i", "j").agg(F.min_by("value", key).alias("value"))
 
 
 def largest_jump(cells: DataFrame) -> DataFrame:
