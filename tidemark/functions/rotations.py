@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 Matrix = list[list[Column]]
@@ -87,3 +87,16 @@ def eigenvalues(xx: Column, yy: Column, zz: Column, xy: Column, xz: Column, yz:
     third = 2.0943951023931953
     first, last = mean + 2.0 * p * F.cos(phi), mean + 2.0 * p * F.cos(phi + third)
     return first, 3.0 * mean - first - last, last
+
+
+def with_eigenvalues(df: DataFrame, entries: dict[str, str], out: tuple[str, str, str]) -> DataFrame:
+    """``df`` with the eigenvalues, largest first, of the symmetric matrix in its columns ``entries`` (xx, yy, zz, xy, xz, yz): in steps, so that no expression is written out twice."""
+    xx, yy, zz, xy, xz, yz = (F.col(entries[k]) for k in ("xx", "yy", "zz", "xy", "xz", "yz"))
+    df = df.withColumn("_mean", (xx + yy + zz) / 3.0)
+    a, b, c = (v - F.col("_mean") for v in (xx, yy, zz))
+    df = df.withColumns({"_p": F.sqrt((a * a + b * b + c * c + 2.0 * (xy * xy + xz * xz + yz * yz)) / 6.0), "_det": a * (b * c - yz * yz) - xy * (xy * c - yz * xz) + xz * (xy * yz - b * xz)})
+    half = F.when(F.col("_p") > 0, F.col("_det") / (2.0 * F.col("_p") * F.col("_p") * F.col("_p"))).otherwise(0.0)
+    df = df.withColumn("_phi", F.acos(F.least(F.greatest(half, F.lit(-1.0)), F.lit(1.0))) / 3.0)
+    first, last = (F.col("_mean") + 2.0 * F.col("_p") * F.cos(F.col("_phi") + turn) for turn in (0.0, 2.0943951023931953))
+    df = df.withColumns({out[0]: first, out[2]: last}).withColumn(out[1], 3.0 * F.col("_mean") - F.col(out[0]) - F.col(out[2]))
+    return df.drop("_mean", "_p", "_det", "_phi")

@@ -28,6 +28,43 @@ def merged(base: DataFrame, key: str, colours: DataFrame | None, labels: DataFra
     return out.drop("_colour")
 
 
+def consolidated(points: DataFrame, colours: DataFrame, labels: DataFrame, objects: DataFrame, key: str = "id") -> DataFrame:
+    """``points`` (key, r, g, b, ...) with fused colours, labels and objects.
+
+    Rows without a colour, or with one that no view gave, keep their own; every row
+    needs a label (else ``MissingRows``); rows of no object have cluster -1, class 0
+    and height 0.
+    """
+    if not points.join(labels, key, "left_anti").isEmpty():
+        raise MissingRows("the labels do not cover every row")
+    out = points.join(colours, key, "left").join(labels, key).join(objects, key, "left")
+    own = F.coalesce("views", F.lit(0)) == 0
+    out = out.withColumns({c: F.when(own, F.col(c)).otherwise(F.col("f" + c)) for c in "rgb"}).drop("fr", "fg", "fb")
+    filled = {"views": 0, "conf": 0, "cluster": -1, "obj": 0, "hag": 0.0}
+    return out.withColumns({c: F.coalesce(c, F.lit(v)) for c, v in filled.items()})
+
+
+def identity(a: DataFrame, b: DataFrame, key: list[str], values: list[str], by: str) -> DataFrame:
+    """(by, n, missing, differing): rows of ``a`` that ``b`` lacks, or has with other values."""
+    other = b.select(*key, F.lit(True).alias("_there"), *[F.col(c).alias("_" + c) for c in values])
+    met = a.join(other, key, "left")
+    unlike = F.lit(False)
+    for c in values:
+        unlike = unlike | ~F.col(c).eqNullSafe(F.col("_" + c))
+    there = F.col("_there").isNotNull()
+    return met.groupBy(by).agg(F.count("*").alias("n"), F.count_if(~there).alias("missing"), F.count_if(there & unlike).alias("differing"))
+
+
+def verified(source: DataFrame, written: DataFrame, key: list[str], by: str, tolerance_mm: float) -> DataFrame:
+    """What was written against its source: exact places and classes by ``by``, median and largest shift (mm) and how many exceed the tolerance."""
+    other = written.select(*key, *[F.col(c).alias("_" + c) for c in ("x", "y", "z", "cls")])
+    met = source.join(other, key)
+    shift = 1000.0 * F.sqrt(sum(((F.col("_" + c) - F.col(c)) * (F.col("_" + c) - F.col(c)) for c in "xyz"), F.lit(0.0)))
+    exact = (F.col("_x") == F.col("x")) & (F.col("_y") == F.col("y")) & (F.col("_z") == F.col("z"))
+    met = met.withColumns({"_s": shift, "_e": exact})
+    return met.groupBy(by).agg(F.count("*").alias("n"), F.bool_and("_e").alias("xyz_exact"), F.bool_and(F.col("_cls") == F.col("cls")).alias("class_exact"), F.percentile("_s", F.lit(0.5)).alias("shift_median_mm"), F.max("_s").alias("shift_max_mm"), F.count_if(F.col("_s") > tolerance_mm).alias("moved"))
+
+
 def attached(points: DataFrame, overlap: float = 0.5) -> DataFrame:
     """(low, high): lower clusters and the upper one under whose footprint at least ``overlap`` of their points lie.
 
