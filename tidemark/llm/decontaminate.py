@@ -19,6 +19,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 from itertools import repeat
 
 import numpy as np
@@ -70,22 +71,37 @@ def effort(length: int) -> tuple[int, int]:
     return (WALKS, min(PLACES, 2 * length)) if length <= SHORT else (-(-WALKS * length // SHORT), PLACES - 1)
 
 
-def sampled(seqs: np.ndarray, length: int) -> np.ndarray:
-    """[sequence, walk] -> bucket of the sampled places of the CGK walk over rows of ``length`` words; no two walks share a bucket."""
+@lru_cache(maxsize=None)
+def plan(length: int) -> tuple[np.ndarray, dict[int, list[int]]]:
+    """Multipliers [walk, step] of the walks over ``length`` words, and the walks that sample each step."""
     walks, places = effort(length)
-    turn = bits(walks, 2 * length)
     rng = np.random.default_rng(length)
-    picked = np.stack([rng.choice(2 * length, places, replace=False) for _ in range(walks)])
+    wanted: dict[int, list[int]] = {}
+    for walk in range(walks):
+        for place in rng.choice(2 * length, places, replace=False).tolist():
+            wanted.setdefault(place, []).append(walk)
+    return bits(walks, 2 * length), wanted
+
+
+def sampled(seqs: np.ndarray, length: int) -> np.ndarray:
+    """[sequence, walk] -> bucket of the sampled places of the CGK walk over rows of ``length`` words; no two walks share a bucket."""
+    turn, wanted = plan(length)
+    walks = len(turn)
+    # one row of words after another: the place of a walk is an index into all of them
     padded = np.concatenate([seqs.astype(np.uint64) + np.uint64(2), np.ones((len(seqs), 1), np.uint64)], axis=1)
-    at = np.zeros((len(seqs), walks), np.int64)
-    keys = np.zeros((len(seqs), walks), np.uint64) + np.arange(walks, dtype=np.uint64)
-    rows = np.arange(len(seqs))[:, None]
+    flat, first = padded.ravel(), (np.arange(len(seqs)) * (length + 1))[:, None]
+    at = np.repeat(first, walks, axis=1)
+    end = first + length
+    keys = np.repeat(np.arange(walks, dtype=np.uint64)[None, :], len(seqs), axis=0)
     with np.errstate(over="ignore"):
-        for t in range(2 * length):
-            now = padded[rows, at]
-            mixed = now * turn[:, t]
-            keys = np.where((picked == t).any(1), keys * np.uint64(0x9E3779B97F4A7C15) + now, keys)
-            at = np.minimum(at + (mixed >> np.uint64(63)).astype(np.int64), length)
+        for t in range(max(wanted) + 1):
+            now = flat[at]
+            if t in wanted:
+                keys[:, wanted[t]] = keys[:, wanted[t]] * np.uint64(0x9E3779B97F4A7C15) + now[:, wanted[t]]
+            now *= turn[:, t]
+            now >>= np.uint64(63)
+            at += now.view(np.int64)
+            np.minimum(at, end, out=at)
     return keys
 
 
@@ -173,17 +189,18 @@ class Benchmark:
                 if d < len(texts):
                     wanted.setdefault(n, set()).add((d, s))
         for n, places in wanted.items():
-            left, k = sorted(places), self.bound(n)
-            for shift in sorted(range(-k, k + 1), key=abs):
-                for lo in range(0, len(left), AT_ONCE):
-                    self._verify(text, bounds, n, left[lo : lo + AT_ONCE], shift, hits)
+            # windows of one passage overlap in their shifts: each is embedded once
+            k = self.bound(n)
+            left = sorted({(d, s + shift) for d, s in places for shift in range(-k, k + 1)})
+            for lo in range(0, len(left), AT_ONCE):
+                self._verify(text, bounds, n, left[lo : lo + AT_ONCE], hits)
         return [sorted((self.ids[i], e, at) for i, (e, at) in h.items()) for h in hits]
 
-    def _verify(self, text, bounds, n, places, shift, hits) -> None:
+    def _verify(self, text, bounds, n, places, hits) -> None:
         k = self.bound(n)
         lo = np.array([bounds[d] for d, _ in places])
         hi = np.array([bounds[d + 1] - 1 for d, _ in places])
-        start = np.array([s for _, s in places]) + shift
+        start = np.array([s for _, s in places])
         index = start[:, None] + np.arange(n)
         inside = (index >= lo[:, None]) & (index < hi[:, None])
         seqs = np.where(inside, text[np.clip(index, 0, len(text) - 1)], -1)
