@@ -195,10 +195,74 @@ def test_base_scores_and_total_probability(spark):
         base = sum(math.log10((x + 0.5) / (n + 0.5 * (v + 1))) for x in [*(c[w] for w in ppm.tokens(t)), len(train)])
         assert abs(got[i].base_score - base) < 1e-6 and got[i].n_tokens == len(t.split()) + 1 and got[i].train_tokens == n
     # all symbols after a context share probability one
-    levels = [({1: 3.0, 2: 1.0}, 0.3), ({2: 5.0, 7: 1.0}, 0.3), ({}, 0.3)]
+    levels = [{1: 3.0, 2: 1.0}, {2: 5.0, 7: 1.0}, {}]
     assert abs(sum(10 ** ppm.escape_chain(levels, s) for s in range(ppm.SYMBOLS)) - 1) < 1e-9
 
 
+def ppm_by_hand(rows, learn, text, held):
+    """The model's log10 probability of a text, from whole dictionaries: pairs of tokens, then every prefix of every word."""
+    counts, pairs, trie, short = Counter(), {}, {}, {}
+    for i, t in rows:
+        if learn(i):
+            seq = [*ppm.tokens(t), None]
+            counts.update(seq)
+            for a, b in zip([0, *seq], seq):
+                pairs.setdefault(a, Counter())[b] += 1
+    for w, c in counts.items():
+        if w is None:
+            trie.setdefault(b"", Counter())[ppm.TEXT_END] += c
+            continue
+        for i in range(len(w) + 1):
+            s = w[i] if i < len(w) else ppm.WORD_END
+            trie.setdefault(w[:i], Counter())[s] += c
+            for k in range(min(2, i) + 1):
+                short.setdefault(w[i - k : i], Counter())[s] += 1
+
+    def spelled(w):
+        if w is None:
+            return ppm.escape_chain([trie.get(b"", {}), short.get(b"", {})], ppm.TEXT_END)
+        chain = lambda i: [trie.get(w[:i], {}), *[short.get(w[i - k : i], {}) for k in range(min(2, i), -1, -1)]]
+        return sum(ppm.escape_chain(chain(i), w[i] if i < len(w) else ppm.WORD_END) for i in range(len(w) + 1))
+
+    out, before = 0.0, 0
+    for w in [*ppm.tokens(text), None]:
+        seen = pairs.get(before, {})
+        total = sum(seen.values())
+        if seen.get(w):
+            out += math.log10((seen[w] - ppm.DISCOUNT) / total)
+        else:
+            out += spelled(w)
+            if total:
+                mass = sum(10 ** spelled(x) for x in seen if x is None or x in held)
+                out += math.log10(ppm.DISCOUNT * len(seen) / total) - math.log10(1 - mass)
+        before = w
+    return out
+
+
+@pytest.mark.parametrize("held, group, pairs", [(100_000, 1_000_000, 100_000), (4, 3, 2), (0, 10, 5)])
+def test_model_scores_against_whole_dictionaries(spark, monkeypatch, held, group, pairs):
+    monkeypatch.setattr(ppm, "HELD_WORDS", held), monkeypatch.setattr(ppm, "GROUP", group), monkeypatch.setattr(ppm, "HELD_PAIRS", pairs)
+    rng = random.Random(6)
+    vocabulary = ["the", "then", "there", "thesis", "cat", "cats", "dog", "do", "a", "\x00b", "é", "x" * 300, "x" * 299 + "y"]
+    rows = [(i, " ".join(rng.choices(vocabulary, [9, 6, 5, 1, 4, 3, 3, 2, 7, 1, 1, 1, 1], k=rng.randrange(12)))) for i in range(60)]
+    rows += [(60, None), (61, "unseen thereof catsup"), (66, "The CAT"), (71, "x" * 350)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    learn = lambda i: i % 5 != 1
+    got = {r.doc_id: r for r in ppm.scored(df, train=df["doc_id"] % 5 != 1).collect()}
+    order = Counter(w for _, t in rows for w in ppm.tokens(t))
+    top = set(sorted(order, key=lambda w: (-order[w], w))[:held])
+    known = {w for i, t in rows if learn(i) for w in ppm.tokens(t)}
+    for i, t in rows:
+        assert abs(got[i].score - ppm_by_hand(rows, learn, t, top)) < 1e-6, (i, t)
+        assert got[i].n_known == sum(w in known for w in ppm.tokens(t)) + 1 and got[i].held_out == (not learn(i))
+
+
+def test_words_of_a_million_bytes(spark):
+    rows = [(i, f"{'ab' * 500_000}{i}") for i in (2, 3)] + [(4, "q" + "ba" * 500_000)]
+    got = ppm.scored(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(got) == 3 and all(r.score < 0 for r in got)
+
+
 # 7
 
 
