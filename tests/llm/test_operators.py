@@ -199,7 +199,7 @@ def test_base_scores_and_total_probability(spark):
     assert abs(sum(10 ** ppm.escape_chain(levels, s) for s in range(ppm.SYMBOLS)) - 1) < 1e-9
 
 
-def ppm_by_hand(rows, learn, text, held):
+def ppm_by_hand(rows, learn, text, held, frequent):
     """The model's log10 probability of a text, from whole dictionaries: pairs of tokens, then every prefix of every word."""
     counts, pairs, trie, short = Counter(), {}, {}, {}
     for i, t in rows:
@@ -226,7 +226,7 @@ def ppm_by_hand(rows, learn, text, held):
 
     out, before = 0.0, 0
     for w in [*ppm.tokens(text), None]:
-        seen = pairs.get(before, {})
+        seen = {} if before in frequent else pairs.get(before, {})
         total = sum(seen.values())
         if seen.get(w):
             out += math.log10((seen[w] - ppm.DISCOUNT) / total)
@@ -239,9 +239,9 @@ def ppm_by_hand(rows, learn, text, held):
     return out
 
 
-@pytest.mark.parametrize("held, group, pairs", [(100_000, 1_000_000, 100_000), (4, 3, 2), (0, 10, 5)])
-def test_model_scores_against_whole_dictionaries(spark, monkeypatch, held, group, pairs):
-    monkeypatch.setattr(ppm, "HELD_WORDS", held), monkeypatch.setattr(ppm, "GROUP", group), monkeypatch.setattr(ppm, "HELD_PAIRS", pairs)
+@pytest.mark.parametrize("held, share, group", [(100_000, 1, 10_000), (4, 8, 10_000), (0, 5, 25), (6, 1, 10_000)])
+def test_model_scores_against_whole_dictionaries(spark, monkeypatch, held, share, group):
+    monkeypatch.setattr(ppm, "HELD_WORDS", held), monkeypatch.setattr(ppm, "SHARE", share), monkeypatch.setattr(ppm, "GROUP", group)
     rng = random.Random(6)
     vocabulary = ["the", "then", "there", "thesis", "cat", "cats", "dog", "do", "a", "\x00b", "é", "x" * 300, "x" * 299 + "y"]
     rows = [(i, " ".join(rng.choices(vocabulary, [9, 6, 5, 1, 4, 3, 3, 2, 7, 1, 1, 1, 1], k=rng.randrange(12)))) for i in range(60)]
@@ -250,10 +250,12 @@ def test_model_scores_against_whole_dictionaries(spark, monkeypatch, held, group
     learn = lambda i: i % 5 != 1
     got = {r.doc_id: r for r in ppm.scored(df, train=df["doc_id"] % 5 != 1).collect()}
     order = Counter(w for _, t in rows for w in ppm.tokens(t))
-    top = set(sorted(order, key=lambda w: (-order[w], w))[:held])
+    most = min(group, (sum(order.values()) + len(rows)) / share)
+    frequent = {w for w, n in order.items() if n > most} | ({0} if len(rows) > most else set())
+    top = set(sorted(order, key=lambda w: (-order[w], w))[: max(held, len(frequent - {0}))])
     known = {w for i, t in rows if learn(i) for w in ppm.tokens(t)}
     for i, t in rows:
-        assert abs(got[i].score - ppm_by_hand(rows, learn, t, top)) < 1e-6, (i, t)
+        assert abs(got[i].score - ppm_by_hand(rows, learn, t, top, frequent)) < 1e-6, (i, t)
         assert got[i].n_known == sum(w in known for w in ppm.tokens(t)) + 1 and got[i].held_out == (not learn(i))
 
 
