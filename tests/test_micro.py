@@ -45,9 +45,89 @@ def test_components_of_a_path(spark):
 
 
 def test_fill_and_close(spark):
-    cells = spark.createDataFrame([(0, 0, 1.0), (0, 1, 9.0), (0, 2, 1.0)], "i long, j long, value double")
-    assert {r.j: r.value for r in raster.closed_depth(cells).collect()} == {0: 1.0, 1: 1.0, 2: 1.0}
-    assert len(raster.filled(cells, 1).collect()) == 11
+    rows = [(i, j, 1.0) for i in range(5) for j in range(8) if (i, j) != (2, 3)]
+    closed = {(r.i, r.j): r.value for r in raster.closed_depth(spark.createDataFrame(rows, "i long, j long, value double"), 8, 5).collect()}
+    # a hole of one cell is filled; nothing gets farther
+    assert len(closed) == 40 and set(closed.values()) == {1.0}
+    near = [(2, 0, 4.0), (2, 7, 1.0)]
+    spread = {(r.i, r.j): r.value for r in raster.range_spread(spark.createDataFrame(near, "i long, j long, value double"), 8, 5).collect()}
+    assert spread[2, 0] == spread[2, 7] == 3.0 and spread[1, 1] == 0.0
+    filled = raster.filled(spark.createDataFrame([(0, 0, 7.0)], "i long, j long, value double"), 1, 8, 5).collect()
+    assert {(r.i, r.j) for r in filled} == {(0, 0), (0, 1), (0, 7), (1, 0)}
+
+
+def test_visibility_tolerances(spark):
+    from tidemark.functions import scalars as S
+
+    rows = [(10.0, 9.8, 0.0, 500), (10.0, 9.0, 0.0, 500), (10.0, 9.0, 1.5, 500), (10.0, 7.0, 9.0, 500), (10.0, 8.3, 0.0, 499), (10.0, None, 0.0, 0)]
+    df = spark.createDataFrame(rows, "r double, depth double, spread double, row int")
+    got = [r[0] for r in df.select(S.visible(F.col("r"), F.col("depth"), F.col("spread"), F.col("row"), 1000)).collect()]
+    # by the horizon a height error of 0.12 m allows 2 m; the slope term is capped at 2 m
+    assert got == [True, True, True, False, True, False]
+
+
+def test_pose_interpolation_extrapolates_and_unwraps(spark):
+    frames = spark.createDataFrame([(1, 0.0, 0.0, 170.0), (1, 10.0, 10.0, -170.0), (1, 20.0, 30.0, -150.0), (2, 0.0, 5.0, 1.0)], "k int, t double, e double, yaw double")
+    points = spark.createDataFrame([(1, -5.0), (1, 5.0), (1, 10.0), (1, 25.0), (2, 99.0)], "k int, t double")
+    for bucket in (3.0, 1000.0):
+        got = {(r.k, r.t): (r.e, round(r.yaw, 9)) for r in ordered.interpolated(points, frames, "k", "t", ["e"], ["yaw"], bucket).collect()}
+        assert got == {(1, -5.0): (-5.0, 160.0), (1, 5.0): (5.0, -180.0), (1, 10.0): (10.0, -170.0), (1, 25.0): (40.0, -140.0), (2, 99.0): (5.0, 1.0)}
+
+
+def test_time_at_a_border_belongs_to_the_earlier_pass(spark):
+    frames = spark.createDataFrame([(0.0, 3), (4.0, 3), (8.0, 7), (9.0, 7)], "t double, p int")
+    points = spark.createDataFrame([(t,) for t in (-9.0, 6.0, 6.1, 50.0)], "t double")
+    assert {r.t: r.p for r in ordered.group_at(points, frames, "p", "t", 5.0).collect()} == {-9.0: 3, 6.0: 3, 6.1: 7, 50.0: 7}
+
+
+def test_robust_colour(spark):
+    rows = [(1, 0.5, 10 - i, i) for i in range(4)] + [(1, 0.9, 5, 9), (1, 0.0, 1, 10), (2, 0.3, 1, 0)]
+    got = {r.k: r for r in A.robust_colour(spark.createDataFrame([(k, c, c, c, s, f) for k, c, s, f in rows], "k int, r double, g double, b double, s int, f int"), "k", ["r", "g", "b"], "s", ["f"]).collect()}
+    # five best, one of them an outlier; a single view is never sure
+    assert (got[1].views, got[1].kept, got[1].r, got[1].conf, got[1].best_f) == (5, 4, 0.5, 255, 0)
+    assert (got[2].views, got[2].kept, got[2].r, got[2].conf) == (1, 1, 0.3, 0)
+
+
+def test_vote_without_weight(spark):
+    got = A.vote(spark.createDataFrame([(1, 4, 0.0, 7)], "k int, c int, w double, f int"), "k", "c", "w", ["f"]).first()
+    assert (got.winner, got.conf, got.views, got.best_f) == (255, 0, 1, None)
+
+
+def test_histogram_report(spark):
+    hist = spark.createDataFrame([("a", 0, 1), ("a", 1, 1), ("a", 10, 2)], "k string, b int, n int")
+    got = A.histogram_report(hist, "k", "b", "n", 1.0, high=5.0, low=1.0).first()
+    assert (got.n, got.mean, got["median"], got.mad, got.p75, got.pct_above, got.pct_below) == (4, 5.75, 1.5, 1.0, 10.5, 50.0, 25.0)
+
+
+def test_image_borders(spark):
+    image = spark.createDataFrame([(i, j, i * 4 + j) for i in range(3) for j in range(4)], "i long, j long, value int")
+    mean = {(r.i, r.j): r.value for r in raster.mean3(image, 4, 3).collect()}
+    # mirrored about the outermost cells: around (0, 0) lie rows 1, 0, 1 and columns 1, 0, 1
+    assert len(mean) == 12 and mean[0, 0] == round((2 * (5 + 4 + 5) + (1 + 0 + 1)) / 9) and mean[1, 1] == 5.0
+    places = spark.createDataFrame([(0, 0.0, 0.0), (1, 4.5, 1.5), (2, 2.0, 99.0)], "k int, u double, v double")
+    got = {r.k: r.value for r in raster.image_bilinear(places, image, "k", 4, 3).collect()}
+    assert got == {0: 1.5, 1: 4.0, 2: 8 * 0 + 4 * 1.5 + 1.5}
+
+
+def test_voxels_within_a_ball(spark):
+    p = spark.createDataFrame([(0, 0.5, 0.5, 0.5), (1, 1.5, 1.5, 0.5), (2, 2.5, 2.5, 1.5)], "id long, x double, y double, z double")
+    assert {r.id: r.cluster for r in graph.voxel_clusters(p, "id", 1.0, 1.5).collect()} == {0: 0, 1: 0, 2: 2}
+    assert {r.cluster for r in graph.voxel_clusters(p, "id", 1.0, 1.8).collect()} == {0}
+
+
+def test_bands_attach_by_the_majority_of_points(spark):
+    rows = [(0, 0, None, 5), (0, 0, None, 5), (0, 0, None, 9), (0, 0, 1, None), (0, 1, 1, None), (5, 5, 1, None), (9, 9, 2, None)]
+    got = {r.low: r.high for r in merging.attached(spark.createDataFrame(rows, "i long, j long, low int, high int"), 0.5).collect()}
+    # the cell beside the footprint counts as under it; cluster 2 lies under nothing
+    assert got == {1: 5}
+
+
+def test_pass_graph(spark):
+    rng = __import__("random").Random(1)
+    truth = {k: rng.uniform(-5, 5) for k in range(40)}
+    pairs = [(a, b, truth[b] - truth[a], 1.0 + a % 3) for a in truth for b in truth if a < b and (b - a == 1 or rng.random() < 0.1)]
+    got = fits.solved_graph(spark.createDataFrame(pairs, "a long, b long, d double, w double"), spark.createDataFrame([(0, truth[0], 2.0)], "a long, d double, w double"))
+    assert all(abs(got[k] - truth[k]) < 1e-6 for k in truth)
 
 
 def test_raw_frames_and_vectors(spark, tmp_path):

@@ -8,8 +8,6 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import joins
 
-#: Nodes of a graph that is solved in one place.
-SOLVED_NODES = 20_000
 
 
 def least_squares(df: DataFrame, design: list[Column], y: Column, by: list[str]) -> DataFrame:
@@ -79,28 +77,38 @@ def gated_offset(df: DataFrame, x: str, by: list[str], gates: list[float]) -> Da
     return now
 
 
-def solved_graph(pairs: DataFrame, anchors: DataFrame) -> dict[int, float]:
+def solved_graph(pairs: DataFrame, anchors: DataFrame, tolerance: float = 1e-12) -> dict[int, float]:
     """Offsets of nodes from differences (a, b, d = offset b - offset a, w) and anchors (a, d, w), by least squares.
 
-    For graphs of passes; raises above ``SOLVED_NODES`` nodes.
+    For graphs of passes: one edge a pair of passes reaches the driver, and the
+    sparse normal equations are solved by conjugate gradients over those edges. A
+    part without an anchor is laid so that its offsets have mean 0 by weight of start.
     """
-    nodes = pairs.select("a").union(pairs.select("b")).union(anchors.select("a")).distinct()
-    if nodes.limit(SOLVED_NODES + 1).count() > SOLVED_NODES:
-        raise ValueError(f"over {SOLVED_NODES} nodes")
-    names = sorted(r[0] for r in nodes.collect())
+    mean = (F.sum(F.col("w") * F.col("d")) / F.sum("w")).alias("d")
+    edges = pairs.groupBy("a", "b").agg(F.sum("w").alias("w"), mean).collect()
+    held = anchors.groupBy("a").agg(F.sum("w").alias("w"), mean).collect()
+    names = sorted({e.a for e in edges} | {e.b for e in edges} | {h.a for h in held})
     at = {k: i for i, k in enumerate(names)}
-    edges = pairs.groupBy("a", "b").agg(F.sum("w").alias("w"), (F.sum(F.col("w") * F.col("d")) / F.sum("w")).alias("d")).collect()
-    held = anchors.groupBy("a").agg(F.sum("w").alias("w"), (F.sum(F.col("w") * F.col("d")) / F.sum("w")).alias("d")).collect()
-    m, v = np.zeros((len(names), len(names))), np.zeros(len(names))
-    for e in edges:
-        a, b = at[e.a], at[e.b]
-        m[a, a] += e.w
-        m[b, b] += e.w
-        m[a, b] -= e.w
-        m[b, a] -= e.w
-        v[a] -= e.w * e.d
-        v[b] += e.w * e.d
+    a, b = (np.array([at[e[k]] for e in edges], np.int64) for k in ("a", "b"))
+    w, d = (np.array([float(e[k]) for e in edges]) for k in ("w", "d"))
+    own = np.zeros(len(names))
+    v = np.bincount(b, w * d, len(names)) - np.bincount(a, w * d, len(names)) if edges else np.zeros(len(names))
     for h in held:
-        m[at[h.a], at[h.a]] += h.w
+        own[at[h.a]] += h.w
         v[at[h.a]] += h.w * h.d
-    return dict(zip(names, np.linalg.lstsq(m, v, rcond=None)[0].tolist()))
+
+    def applied(x: np.ndarray) -> np.ndarray:
+        pull = w * (x[b] - x[a]) if edges else np.zeros(0)
+        return own * x + (np.bincount(b, pull, len(x)) - np.bincount(a, pull, len(x)) if edges else 0.0)
+
+    x, rest = np.zeros(len(names)), v.copy()
+    step, size = rest.copy(), float(rest @ rest)
+    for _ in range(10 * len(names)):
+        if size <= tolerance * max(1.0, float(v @ v)) * tolerance:
+            break
+        along = applied(step)
+        k = size / float(step @ along)
+        x, rest = x + k * step, rest - k * along
+        size, before = float(rest @ rest), size
+        step = rest + size / before * step
+    return dict(zip(names, x.tolist()))

@@ -426,13 +426,6 @@ def normal_equations(spark, d):
     return f.select("user_id", "n", r(F.col("coefficients")[0], 3).alias("c0"), r(F.col("coefficients")[1]).alias("c1"), r("r2").alias("r2"))
 
 
-@query()
-def fourier_fit(spark, d):
-    e = table(spark, d, "events").select("event_type", "value", (F.hour(F.col("ts").cast("timestamp")) * 15.0).alias("angle"))
-    f = fits.fourier(e, "angle", "value", ["event_type"])
-    return f.select("event_type", "n", *[r(F.col("coefficients")[k], 3).alias(f"c{k}") for k in range(5)])
-
-
 @query(f"WITH {EV}, d AS (SELECT user_id, t, value, lag(value) {W} AS a FROM e) SELECT user_id, max(abs(value-a)) FILTER (a IS NOT NULL) AS largest, count(a) AS steps FROM d GROUP BY 1")
 def largest_steps(spark, d):
     w = Window.partitionBy("user_id").orderBy("t", "event_id")
