@@ -481,7 +481,7 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _load() -> None:
     """Imports the modules that register further queries."""
-    from tidemark.plans import cluster_queries, frame_queries, merge_queries, pose_queries, report_queries, source_queries, store_queries, survey_queries  # noqa: F401
+    from tidemark.plans import cluster_queries, frame_queries, geometry_queries, merge_queries, pose_queries, report_queries, source_queries, store_queries, survey_queries  # noqa: F401
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
