@@ -60,14 +60,14 @@ def baseline_summary(spark, d):
 PAIRED = f"{CLASSED}, ab AS (SELECT frame, cls, pass_id, du AS du_a, dv AS dv_a, du*0.8-0.3 AS du_b, CASE WHEN frame%7=0 THEN NULL ELSE dv*0.9+0.2 END AS dv_b FROM cl), mg AS (SELECT *, sqrt(du_a*du_a+dv_a*dv_a) AS ma, sqrt(du_b*du_b+dv_b*dv_b) AS mb FROM ab)"
 
 
-@query(f"{PAIRED} SELECT cls, pass_id, count(*) AS n, count(du_a) AS n_fit_a, count(du_b) AS n_fit_b, round(quantile_cont(abs(du_a),0.5),3) AS du_a_median, round(quantile_cont(abs(du_a),0.95),3) AS du_a_p95, round(quantile_cont(abs(du_b),0.5),3) AS du_b_median, round(quantile_cont(abs(dv_b),0.95),3) AS dv_b_p95, count(mb-ma) AS n_both, round(avg(CASE WHEN mb-ma < -2 THEN 1.0 WHEN mb-ma IS NOT NULL THEN 0.0 END),3) AS improved, round(avg(CASE WHEN mb-ma > 2 THEN 1.0 WHEN mb-ma IS NOT NULL THEN 0.0 END),3) AS worsened FROM mg GROUP BY ROLLUP (cls, pass_id)")
+@query(f"{PAIRED} SELECT cls, pass_id, count(*) AS n, count(du_a) AS n_fit_a, count(du_b) AS n_fit_b, round(quantile_cont(abs(du_a),0.5),6) AS du_a_median, round(quantile_cont(abs(du_a),0.95),6) AS du_a_p95, round(quantile_cont(abs(du_b),0.5),6) AS du_b_median, round(quantile_cont(abs(dv_b),0.95),6) AS dv_b_p95, count(mb-ma) AS n_both, round(avg(CASE WHEN mb-ma < -2 THEN 1.0 WHEN mb-ma IS NOT NULL THEN 0.0 END),6) AS improved, round(avg(CASE WHEN mb-ma > 2 THEN 1.0 WHEN mb-ma IS NOT NULL THEN 0.0 END),6) AS worsened FROM mg GROUP BY ROLLUP (cls, pass_id)")
 def pose_comparison(spark, d):
     """Two pose sources by group and pass: medians and tails of their offsets, and the share that got better or worse by over two pixels."""
     rows = _classed(spark, d).select("cls", "pass_id", F.col("du").alias("du_a"), F.col("dv").alias("dv_a"), (F.col("du") * 0.8 - 0.3).alias("du_b"), F.when(F.col("frame") % 7 != 0, F.col("dv") * 0.9 + 0.2).alias("dv_b"))
     delta = F.hypot("du_b", "dv_b") - F.hypot("du_a", "dv_a")
     rows = rows.withColumns({"delta": delta, **{f"a{c}": F.abs(c) for c in ("du_a", "du_b", "dv_b")}})
-    share = lambda w: F.round(F.avg(F.when(F.col("delta").isNotNull(), F.when(w, 1.0).otherwise(0.0))), 3)
-    p = lambda c, q: F.round(F.percentile(c, F.lit(q)), 3)
+    share = lambda w: F.round(F.avg(F.when(F.col("delta").isNotNull(), F.when(w, 1.0).otherwise(0.0))), 6)
+    p = lambda c, q: F.round(F.percentile(c, F.lit(q)), 6)
     return rows.rollup("cls", "pass_id").agg(F.count("*").alias("n"), F.count("du_a").alias("n_fit_a"), F.count("du_b").alias("n_fit_b"), p("adu_a", 0.5).alias("du_a_median"), p("adu_a", 0.95).alias("du_a_p95"), p("adu_b", 0.5).alias("du_b_median"), p("adv_b", 0.95).alias("dv_b_p95"), F.count("delta").alias("n_both"), share(F.col("delta") < -2).alias("improved"), share(F.col("delta") > 2).alias("worsened"))
 
 
