@@ -252,7 +252,8 @@ def test_model_scores_against_whole_dictionaries(spark, monkeypatch, held, share
     order = Counter(w for _, t in rows for w in ppm.tokens(t))
     most = min(group, (sum(order.values()) + len(rows)) / share)
     frequent = {w for w, n in order.items() if n > most} | ({0} if len(rows) > most else set())
-    top = set(sorted(order, key=lambda w: (-order[w], w))[: max(held, len(frequent - {0}))])
+    size = lambda n: n.bit_length() * 16 + (n >> max(0, n.bit_length() - 4))
+    top = {w for w in order if sum(size(n) >= size(order[w]) for n in order.values()) <= held} | (frequent - {0})
     known = {w for i, t in rows if learn(i) for w in ppm.tokens(t)}
     for i, t in rows:
         assert abs(got[i].score - ppm_by_hand(rows, learn, t, top, frequent)) < 1e-6, (i, t)
