@@ -226,5 +226,5 @@ def test_offsets_of_the_whole_table(spark):
     from tidemark.plans import catalogue
 
     keys = sorted(r.p_partkey for r in tables.table(spark, "/root/testdata/sf0.001", "part").select("p_partkey").collect())
-    got = catalogue.queries()["global_offsets_whole"](spark, "/root/testdata/sf0.001").collect()
+    got = catalogue.queries()["global_offsets"](spark, "/root/testdata/sf0.001").collect()
     assert {r.p_partkey: r.row_offset for r in got} == {k: i for i, k in enumerate(keys)} and len(keys) == 200
