@@ -437,3 +437,19 @@ def test_each_stage_runs_once(spark, monkeypatch):
     monkeypatch.setattr(corpus_pipeline, "STAGES", [("first", first), ("second", lambda spark, docs, sf_dir: docs.union(docs.where("doc_id >= 0")))])
     n = table(spark, SF, "documents").count()
     assert corpus_pipeline.run(spark, SF).count() >= n and read.value == n
+
+
+def broadcasts(df) -> int:
+    """How many tables of the plan that was run were sent to every task."""
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().count("BroadcastExchange")
+
+
+def linked_texts(spark):
+    texts = [" ".join(random.Random(k).choices("abcdefgh", k=200)) for k in range(20)]
+    return spark.createDataFrame([(i, t) for i, t in enumerate([*texts, *texts, *[t + " z" for t in texts]])], "doc_id long, text string")
+
+
+def test_near_duplicates_broadcast_no_table_that_grows(spark):
+    """Fingerprints, links and classes grow with the documents: small as they are here, the driver must not build them."""
+    assert broadcasts(neardup.near_duplicates(linked_texts(spark))) == 0

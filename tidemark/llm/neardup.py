@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import annotate, checkpointed, fresh
+from .common import annotate, checkpointed, fresh, unheld
 
 #: Words in a shingle, and bits by which linked fingerprints differ at most.
 WORDS, RADIUS = 3, 3
@@ -94,7 +94,7 @@ def links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
         raise ValueError("the halves' anchors cover three bits at most")
     home, copy = homes(fps).alias("x"), copies(fps).alias("y")
     near = (F.col("x.fp") < F.col("y.fp")) & (F.bit_count(F.col("x.fp").bitwiseXOR(F.col("y.fp"))) <= radius)
-    met = home.join(copy, (F.col("x.half") == F.col("y.half")) & (F.col("x.anchor") == F.col("y.anchor")) & near)
+    met = home.join(unheld(copy), (F.col("x.half") == F.col("y.half")) & (F.col("x.anchor") == F.col("y.anchor")) & near)
     return met.select(F.col("x.fp").alias("a"), F.col("y.fp").alias("b")).distinct()
 
 
@@ -110,13 +110,13 @@ def components(edges: DataFrame) -> DataFrame:
         step = checkpointed(both.groupBy("node").agg(F.least("node", F.min("other")).alias("to")))
         steps.append(step)
         a, b = step.select(F.col("node").alias("a"), F.col("to").alias("u")), step.select(F.col("node").alias("b"), F.col("to").alias("v"))
-        left = checkpointed(left.join(a, "a").join(b, "b").where("u <> v").select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b")).distinct())
+        left = checkpointed(left.join(unheld(a), "a").join(unheld(b), "b").where("u <> v").select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b")).distinct())
     if not steps:
         return edges.select(F.col("a").alias("node"), F.col("a").alias("comp")).limit(0)
     out = steps.pop().select("node", F.col("to").alias("comp"))
     while steps:
         later = out.select(F.col("node").alias("to"), "comp")
-        out = steps.pop().join(later, "to", "left").select("node", F.coalesce("comp", "to").alias("comp"))
+        out = steps.pop().join(unheld(later), "to", "left").select("node", F.coalesce("comp", "to").alias("comp"))
     return out
 
 
@@ -124,9 +124,9 @@ def classes(marked: DataFrame, key: str = "doc_id") -> DataFrame:
     """(fp, comp, component_id) of the rows' fingerprints: smallest ``fp`` and smallest ``key`` over all linked ones."""
     ids = checkpointed(marked.groupBy("fp").agg(F.min(F.coalesce(key, F.lit(NO_ID))).alias("first")))
     parts = components(links(ids.select("fp"))).withColumnRenamed("node", "fp")
-    joined = checkpointed(ids.join(parts, "fp", "left").select("fp", "first", F.coalesce("comp", "fp").alias("comp")))
+    joined = checkpointed(ids.join(unheld(parts), "fp", "left").select("fp", "first", F.coalesce("comp", "fp").alias("comp")))
     lowest = joined.groupBy("comp").agg(F.min("first").alias("component_id"))
-    return joined.join(lowest, "comp").select("fp", "comp", "component_id")
+    return joined.join(unheld(lowest), "comp").select("fp", "comp", "component_id")
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -137,7 +137,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     other. Repeated rows each get a row; further columns of ``docs`` don't matter.
     """
     marked = checkpointed(fingerprinted(docs, text, [key]))
-    whole = marked.join(classes(marked, key), "fp")
+    whole = marked.join(unheld(classes(marked, key)), "fp")
     return whole.select(key, hexed("fp").alias("fingerprint"), F.nullif("component_id", F.lit(NO_ID)).alias("component_id"))
 
 
