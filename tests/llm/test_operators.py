@@ -453,3 +453,8 @@ def linked_texts(spark):
 def test_near_duplicates_broadcast_no_table_that_grows(spark):
     """Fingerprints, links and classes grow with the documents: small as they are here, the driver must not build them."""
     assert broadcasts(neardup.near_duplicates(linked_texts(spark))) == 0
+
+
+def test_one_document_of_a_group_is_kept_without_broadcasts(spark):
+    kept = neardup.deduplicated(linked_texts(spark))
+    assert broadcasts(kept) == 0

@@ -146,8 +146,8 @@ def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     tag, whole, first, same, row = (fresh(c, *docs.columns) for c in ("tag", "whole", "first", "same", "row"))
     rows = docs.withColumns({tag: F.xxhash64(text), whole: F.xxhash64(*docs.columns)})
     marked = checkpointed(fingerprinted(rows.select(F.coalesce(key, F.lit(NO_ID)).alias(first), F.col(tag).alias(same), F.col(whole).alias(row), text), text, [first, same, row]))
-    found = marked.join(classes(marked, first).select("fp", "comp"), "fp").groupBy("comp", F.struct(first, same, row).alias("who")).agg(F.count("*").alias("rows"))
+    found = marked.join(unheld(classes(marked, first).select("fp", "comp")), "fp").groupBy("comp", F.struct(first, same, row).alias("who")).agg(F.count("*").alias("rows"))
     stay = checkpointed(found.groupBy("comp").agg(F.min(F.struct("who", "rows")).alias("x")).select("x.who.*", "x.rows"))
-    kept = rows.join(stay, (F.coalesce(rows[key], F.lit(NO_ID)) == stay[first]) & (rows[tag] == stay[same]) & (rows[whole] == stay[row]), "left_semi")
+    kept = rows.join(unheld(stay), (F.coalesce(rows[key], F.lit(NO_ID)) == stay[first]) & (rows[tag] == stay[same]) & (rows[whole] == stay[row]), "left_semi")
     # rows that are alike in every column are one; where no kept row has a twin this changes nothing and is left out
     return (kept.dropDuplicates([key, tag, whole]) if not stay.where("rows > 1").isEmpty() else kept).drop(tag, whole)
