@@ -36,3 +36,8 @@ def half_turns(kind: str) -> str:
 def test_pose_offset_turns_like_its_sql_at_half_a_turn(both):
     got, want = both("pose_offset", events=half_turns("view"))
     assert got == want
+
+
+def test_linear_interpolation_turns_like_its_sql_at_half_a_turn(both):
+    got, want = both("linear_interpolation", events=half_turns("click"))
+    assert len(want) == 300 and got == want
