@@ -41,3 +41,8 @@ def test_pose_offset_turns_like_its_sql_at_half_a_turn(both):
 def test_linear_interpolation_turns_like_its_sql_at_half_a_turn(both):
     got, want = both("linear_interpolation", events=half_turns("click"))
     assert len(want) == 300 and got == want
+
+
+def test_initial_poses_turn_like_their_sql_at_half_a_turn(both):
+    got, want = both("initial_poses", events=half_turns("view"))
+    assert got == want
