@@ -46,3 +46,8 @@ def test_linear_interpolation_turns_like_its_sql_at_half_a_turn(both):
 def test_initial_poses_turn_like_their_sql_at_half_a_turn(both):
     got, want = both("initial_poses", events=half_turns("view"))
     assert got == want
+
+
+def test_transformed_headings_on_the_border_are_those_of_the_sql(both):
+    got, want = both("transformed_poses", events="SELECT i AS event_id, " + EVENTS.format(t="i", u="i%14", k="'view'", v="(17000+i//14)/100.0") + " FROM (SELECT unnest(range(14000)) AS i)")
+    assert 180.0 in {r[-1] for r in want} and got == want

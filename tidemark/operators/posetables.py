@@ -51,7 +51,7 @@ def overlaid(base: DataFrame, refined: DataFrame, key: str, pose: list[str]) ->
 
 
 def transformed(poses: DataFrame, transforms: DataFrame) -> DataFrame:
-    """Poses with each pass's transform: places turned about the centre and shifted, headings turned along; passes without one stay.
+    """Poses with each pass's transform: places turned about the centre and shifted, headings turned along (in [-180, 180)); passes without one stay.
 
     ``transforms``: pass_id, dx, dy, dz, dyaw, cx, cy; a null centre is the mean place of the pass.
     """
@@ -61,10 +61,10 @@ def transformed(poses: DataFrame, transforms: DataFrame) -> DataFrame:
     both = both.withColumns({"_cx": F.coalesce("_cx", "_me"), "_cy": F.coalesce("_cy", "_mn")})
     c, s = F.cos(F.radians("_dyaw")), F.sin(F.radians("_dyaw"))
     ex, ny = F.col("e") - F.col("_cx"), F.col("n") - F.col("_cy")
-    m = Q.times(Q.vehicle(F.col("yaw"), F.col("roll"), F.col("pitch")), Q.about_z(-F.col("_dyaw")))
-    yaw, roll, pitch = Q.vehicle_angles(m)
-    new = {"e": c * ex - s * ny + F.col("_cx") + F.col("_dx"), "n": s * ex + c * ny + F.col("_cy") + F.col("_dy"), "h": F.col("h") + F.col("_dz"), "yaw": yaw, "roll": roll, "pitch": pitch}
-    return both.withColumns({k: F.coalesce(v, F.col(k)) for k, v in new.items()}).select(*poses.columns)
+    new = {"e": c * ex - s * ny + F.col("_cx") + F.col("_dx"), "n": s * ex + c * ny + F.col("_cy") + F.col("_dy"), "h": F.col("h") + F.col("_dz")}
+    # a turn about the vertical adds to the heading and leaves roll and pitch
+    turned = {"yaw": wrapped(F.col("yaw") + F.coalesce("_dyaw", F.lit(0.0)))}
+    return both.withColumns({k: F.coalesce(v, F.col(k)) for k, v in new.items()} | turned).select(*poses.columns)
 
 
 def evenly_by_rank(df: DataFrame, order: list[str], n: int) -> DataFrame:
