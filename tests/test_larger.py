@@ -56,3 +56,8 @@ def test_transformed_headings_on_the_border_are_those_of_the_sql(both):
 def test_frames_beyond_two_thousand_are_strata_of_their_own(both):
     got, want = both("eight_strata", embeddings="SELECT i*1000+51000 AS vec_id, [0.1, 0.2+i/500.0, 0.3]::FLOAT[] AS embedding, CAST(i%10 AS INT) AS label FROM (SELECT unnest(range(100)) AS i)")
     assert got == want
+
+
+def test_tile_names_of_keys_of_seven_digits(both):
+    got, want = both("tile_names", part="SELECT CAST(unnest([0, 7, 999999, 1000000, 1000001, 1234567, 12345678]) AS BIGINT) AS p_partkey")
+    assert got == want

@@ -112,7 +112,9 @@ def time_buckets(spark, d):
 
 @query("SELECT p_partkey, right('000' || (p_partkey%1000), 3) AS name FROM part")
 def tile_names(spark, d):
-    key = F.lpad(F.col("p_partkey").cast("string"), 6, "0")
+    digits = F.col("p_partkey").cast("string")
+    # lpad would cut longer keys
+    key = F.when(F.length(digits) < 6, F.lpad(digits, 6, "0")).otherwise(digits)
     return table(spark, d, "part").select("p_partkey", tile_name(F.concat(F.lit("/data/laz/AB12_"), key, F.lit("_K.laz"))).alias("name"))
 
 
