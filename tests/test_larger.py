@@ -61,3 +61,13 @@ def test_frames_beyond_two_thousand_are_strata_of_their_own(both):
 def test_tile_names_of_keys_of_seven_digits(both):
     got, want = both("tile_names", part="SELECT CAST(unnest([0, 7, 999999, 1000000, 1000001, 1234567, 12345678]) AS BIGINT) AS p_partkey")
     assert got == want
+
+
+def test_colours_halfway_between_two_are_those_of_the_sql(spark):
+    """The median of two samples may lie halfway between two colours, up to the last digit."""
+    pairs = [(a, b) for a in range(256) for b in range(a + 1)]
+    df = spark.createDataFrame(pairs, "a int, b int")
+    got = {(r.a, r.b): r.v for r in df.select("a", "b", S.to_srgb((S.to_linear(df.a) + S.to_linear(df.b)) / 2).alias("v")).collect()}
+    lin = lambda c: frame_queries.LIN.format(c=c)
+    want = duckdb.sql(f"WITH p AS (SELECT a, b, ({lin('a')}+{lin('b')})/2 AS f FROM range(256) x(a), range(256) y(b) WHERE b <= a) SELECT a, b, {frame_queries.SRGB.format(c='f')} FROM p").fetchall()
+    assert got == {(a, b): v for a, b, v in want}

@@ -40,7 +40,8 @@ def to_linear(u8: Column) -> Column:
 
 def to_srgb(linear: Column) -> Column:
     c = F.least(F.greatest(linear, F.lit(0.0)), F.lit(1.0))
-    return F.rint(255.0 * F.when(c <= 0.0031308, 12.92 * c).otherwise(1.055 * F.pow(c, F.lit(1 / 2.4)) - 0.055)).cast("int")
+    # halves to even, whatever the last digits of a power are
+    return F.rint(F.round(255.0 * F.when(c <= 0.0031308, 12.92 * c).otherwise(1.055 * F.pow(c, F.lit(1 / 2.4)) - 0.055), 6)).cast("int")
 
 
 def lab(r: Column, g: Column, b: Column) -> tuple[Column, Column, Column]:
