@@ -228,3 +228,18 @@ def test_offsets_of_the_whole_table(spark):
     keys = sorted(r.p_partkey for r in tables.table(spark, "/root/testdata/sf0.001", "part").select("p_partkey").collect())
     got = catalogue.queries()["global_offsets"](spark, "/root/testdata/sf0.001").collect()
     assert {r.p_partkey: r.row_offset for r in got} == {k: i for i, k in enumerate(keys)} and len(keys) == 200
+
+
+def test_pose_hash_is_that_of_the_whole_table_and_its_rows_stay_with_the_tasks(spark, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    from tidemark.sources import artifacts
+
+    i = F.col("id")
+    poses = spark.range(30_000).select(((i * 7919) % 30_000).alias("frame"), (i * 0.37).alias("t"), (i * 0.1234567).alias("e"), (-i / 7).alias("n"), (i % 40 * 0.5).alias("h"), *[(i % k / 3.0).alias(c) for c, k in (("roll", 5), ("pitch", 7), ("yaw", 360))])
+    rows = sorted(poses.collect())
+    want = artifacts.short_hash({"t": [repr(r.t) for r in rows], "origin": [[round(v, 3) for v in (r.e, r.n, r.h)] for r in rows], **{k: [round(r[k], 4) for r in rows] for k in ("roll", "pitch", "yaw")}})
+    read, whole = [], DataFrame.toLocalIterator
+    monkeypatch.setattr(DataFrame, "toLocalIterator", lambda self, *a, **k: (read.append(r) or r for r in whole(self, *a, **k)))
+    assert artifacts.pose_hash(poses) == want and len(read) < 1000
+    assert artifacts.pose_hash(poses.limit(0)) == artifacts.short_hash({k: [] for k in ("t", "origin", "roll", "pitch", "yaw")})

@@ -9,14 +9,21 @@ from __future__ import annotations
 
 import hashlib
 import json
+from collections.abc import Iterator
 
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.operators.graph import cut
+
 #: The source whose results lie in the folder itself.
 PLAIN = "export"
 META = "kind string, key string, value string"
 POSE_COLUMNS = ("t", "e", "n", "h", "roll", "pitch", "yaw")
+#: Parts of a pose table's hash in the order of JSON keys, and how many pieces of one the driver reads at once.
+POSE_PARTS, PIECES_AT_ONCE = ("origin", "pitch", "roll", "t", "yaw"), 32
 
 
 class StaleArtifact(RuntimeError):
@@ -28,19 +35,35 @@ def short_hash(payload: dict) -> str:
     return hashlib.sha1(json.dumps(payload, sort_keys=True).encode()).hexdigest()[:10]
 
 
+def _pose_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of each batch as JSON list items, a text a part of the hash, with the batch's place in the order."""
+    part = TaskContext.get().partitionId()
+    for at, b in enumerate(batches):
+        c = {k: b.column(i).to_pylist() for i, k in enumerate(POSE_COLUMNS)}
+        rounded = lambda k, digits: [round(float(v), digits) for v in c[k]]
+        lists = {"t": [repr(float(v)) for v in c["t"]], "origin": [list(v) for v in zip(*(rounded(k, 3) for k in "enh"))], **{k: rounded(k, 4) for k in ("roll", "pitch", "yaw")}}
+        yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([at], pa.int32()), *[pa.array([json.dumps(lists[k])[1:-1]]) for k in POSE_PARTS]], names=["part", "at", *POSE_PARTS])
+
+
 def pose_hash(poses: DataFrame, order: str = "frame") -> str:
     """Hash of a pose table: times as they are, places to a millimetre, angles to a ten-thousandth of a degree.
 
-    A pose table has a row a photograph; its seven numbers are read in order.
+    A pose table has a row a photograph; its seven numbers are read in order. The
+    tasks write the JSON text that is hashed in pieces of a batch each; the driver
+    reads them part by part, a few at a time.
     """
-    rows = poses.select(order, *POSE_COLUMNS).orderBy(order).toLocalIterator()
-    cols: dict[str, list] = {"t": [], "origin": [], "roll": [], "pitch": [], "yaw": []}
-    for r in rows:
-        cols["t"].append(repr(float(r.t)))
-        cols["origin"].append([round(float(v), 3) for v in (r.e, r.n, r.h)])
-        for k in ("roll", "pitch", "yaw"):
-            cols[k].append(round(float(r[k]), 4))
-    return short_hash(cols)
+    rows = poses.select(order, *POSE_COLUMNS).orderBy(order).select(*POSE_COLUMNS)
+    texts = cut(rows.mapInArrow(_pose_texts, "part int, at int, " + ", ".join(f"{k} string" for k in POSE_PARTS)))
+    few = max(1, texts.count() // PIECES_AT_ONCE)
+    whole = hashlib.sha1()
+    for k in POSE_PARTS:
+        whole.update((("{" if k == POSE_PARTS[0] else ", ") + f'"{k}": [').encode())
+        pieces = texts.where(F.length(k) > 0).select("part", "at", k).repartitionByRange(few, "part", "at").sortWithinPartitions("part", "at")
+        for i, r in enumerate(pieces.toLocalIterator()):
+            whole.update(((", " if i else "") + r[k]).encode())
+        whole.update(b"]")
+    whole.update(b"}")
+    return whole.hexdigest()[:10]
 
 
 def rig_hash(boresight: tuple[float, float, float], lever: tuple[float, float, float], dt: float) -> str:
