@@ -243,3 +243,13 @@ def test_pose_hash_is_that_of_the_whole_table_and_its_rows_stay_with_the_tasks(s
     monkeypatch.setattr(DataFrame, "toLocalIterator", lambda self, *a, **k: (read.append(r) or r for r in whole(self, *a, **k)))
     assert artifacts.pose_hash(poses) == want and len(read) < 1000
     assert artifacts.pose_hash(poses.limit(0)) == artifacts.short_hash({k: [] for k in ("t", "origin", "roll", "pitch", "yaw")})
+
+
+def test_range_join_meets_only_cells_near_in_time(spark):
+    """A place that is passed a thousand times: each pass meets itself."""
+    points = spark.range(1000).select("id", (F.col("id") * 10.0).alias("gps"), F.lit(0.5).alias("x"), F.lit(0.5).alias("y"))
+    frames = spark.range(1000).select(F.col("id").alias("frame"), (F.col("id") * 10.0 + 1).alias("t"), F.lit(0.0).alias("cx"), F.lit(0.0).alias("cy"))
+    met = joins.range_join(points, frames, 1.0, ("gps", "t", 9.0))
+    assert {(r.id, r.frame) for r in met.collect()} == {(k, k) for k in range(1000)} | {(k + 1, k) for k in range(999)}
+    plan = met._jdf.queryExecution().optimizedPlan().toString()
+    assert "_k" in next(line for line in plan.splitlines() if "Join" in line)

@@ -20,8 +20,7 @@ TURN = tuple(f"_m{a}{b}" for a in range(3) for b in range(3))
 def candidates(points: DataFrame, frames: DataFrame, reach: float = R_MAX, window: float | None = WINDOW) -> DataFrame:
     """Pairs of points (x, y, z, gps) and frames (frame, pose) within ``reach`` in the plane and ``window`` seconds."""
     f = turned(frames).select("frame", "t", "e", "n", "h", *TURN, F.col("e").alias("cx"), F.col("n").alias("cy"))
-    near = range_join(points, f, reach).drop("cx", "cy", "d2")
-    return near if window is None else near.where(F.abs(F.col("gps") - F.col("t")) <= window)
+    return range_join(points, f, reach, None if window is None else ("gps", "t", window)).drop("cx", "cy", "d2")
 
 
 def turned(frames: DataFrame) -> DataFrame:

@@ -6,16 +6,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def range_join(points: DataFrame, centres: DataFrame, radius: float) -> DataFrame:
+def range_join(points: DataFrame, centres: DataFrame, radius: float, window: tuple[str, str, float] | None = None) -> DataFrame:
     """Rows of ``points`` (x, y, ...) and ``centres`` (cx, cy, ...) within ``radius`` in the plane, inclusive, with ``d2``.
 
     Cells are as wide as the radius; each centre is copied to its nine cells, so
-    give the smaller side as ``centres``.
+    give the smaller side as ``centres``. ``window``: a column of each side and how
+    far they may differ; it is a third axis of the cells, so that places met again
+    and again don't meet all of their times.
     """
     cell = lambda c: F.floor(F.col(c) / radius)
     near = F.array(*[F.struct((cell("cx") + i).alias("_i"), (cell("cy") + j).alias("_j")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
-    ring = centres.select("*", F.explode(near).alias("_c")).select("*", "_c.*").drop("_c")
-    met = points.withColumns({"_i": cell("x"), "_j": cell("y")}).join(ring, ["_i", "_j"]).drop("_i", "_j")
+    ring, cells = centres.select("*", F.explode(near).alias("_c")).select("*", "_c.*").drop("_c"), {"_i": cell("x"), "_j": cell("y")}
+    if window:
+        own, other, width = window
+        at = lambda c: F.floor(F.col(c) / width)
+        ring, cells = ring.select("*", F.explode(F.array(*[at(other) + k for k in (-1, 0, 1)])).alias("_k")), {**cells, "_k": at(own)}
+    met = points.withColumns(cells).join(ring, list(cells)).drop(*cells)
+    if window:
+        met = met.where(F.abs(F.col(own) - F.col(other)) <= width)
     d2 = (F.col("x") - F.col("cx")) * (F.col("x") - F.col("cx")) + (F.col("y") - F.col("cy")) * (F.col("y") - F.col("cy"))
     return met.withColumn("d2", d2).where(F.col("d2") <= radius * radius)
 
