@@ -253,3 +253,21 @@ def test_range_join_meets_only_cells_near_in_time(spark):
     assert {(r.id, r.frame) for r in met.collect()} == {(k, k) for k in range(1000)} | {(k + 1, k) for k in range(999)}
     plan = met._jdf.queryExecution().optimizedPlan().toString()
     assert "_k" in next(line for line in plan.splitlines() if "Join" in line)
+
+
+def test_graph_of_a_long_chain_with_shortcuts_and_loose_parts(spark):
+    """A chain takes conjugate gradients a round a node; the differences don't agree with each other here."""
+    n = 20_000
+    k = spark.range(n - 3).select(F.col("id").alias("a"))
+    pairs = k.select("a", F.explode(F.array(F.struct((F.col("a") + 1).alias("b"), F.lit(1.0).alias("d")), F.struct((F.col("a") + 3).alias("b"), F.lit(3.6).alias("d")))).alias("x")).select("a", "x.b", "x.d", F.lit(1.0).alias("w"))
+    loose = spark.createDataFrame([(n + 5, n + 6, 4.0, 1.0)], "a long, b long, d double, w double")
+    got = fits.solved_graph(pairs.union(loose), spark.createDataFrame([(0, 5.0, 2.0)], "a long, d double, w double"))
+    x = [got[i] for i in range(n)]
+    assert len(got) == n + 2 and (got[n + 5], got[n + 6]) == pytest.approx((-2.0, 2.0)) and x[0] == pytest.approx(5.0)
+    # at the best solution what pulls at a node is in balance
+    pull = [0.0] * n
+    for a in range(n - 3):
+        for b, d in ((a + 1, 1.0), (a + 3, 3.6)):
+            force = d - (x[b] - x[a])
+            pull[a], pull[b] = pull[a] - force, pull[b] + force
+    assert max(map(abs, pull)) < 1e-8

@@ -77,38 +77,136 @@ def gated_offset(df: DataFrame, x: str, by: list[str], gates: list[float]) -> Da
     return now
 
 
+#: Most neighbours of a node that is eliminated, and the number of nodes that are left to conjugate gradients.
+DEGREE, CORE = 16, 64
+
+
+class Eliminated:
+    """Factor of a graph's normal equations: nodes with few neighbours are taken out, many apart from each other a round.
+
+    A node's edges (weights ``w``) and its tie to the ground (``own``) become edges
+    between its neighbours and ties of theirs: sums and products of positive numbers
+    only. Chains and other sparse graphs go to the end, whatever their length; what
+    is left of others is solved by conjugate gradients.
+    """
+
+    def __init__(self, n: int, a: np.ndarray, b: np.ndarray, w: np.ndarray, own: np.ndarray):
+        self.n, self.rounds, self.own = n, [], own.copy()
+        own, order = self.own, np.random.default_rng(0).permutation(n)
+        a, b, w = self.merged(a, b, w)
+        while len(a):
+            degree = np.bincount(a, minlength=n) + np.bincount(b, minlength=n)
+            if np.count_nonzero(degree) <= CORE:
+                break
+            key = degree * n + order
+            least = np.full(n, np.iinfo(np.int64).max)
+            np.minimum.at(least, a, key[b])
+            np.minimum.at(least, b, key[a])
+            out = (degree > 0) & (degree <= DEGREE) & (key < least)
+            if not out.any():
+                break
+            src, dst, ww = np.concatenate([a, b]), np.concatenate([b, a]), np.concatenate([w, w])
+            mine = np.nonzero(out[src])[0]
+            mine = mine[np.argsort(src[mine], kind="stable")]
+            src, dst, ww = src[mine], dst[mine], ww[mine]
+            total = np.bincount(src, ww, n) + own
+            share = ww / total[src]
+            gone = np.nonzero(out)[0]
+            self.rounds.append((gone, src, dst, share, total[gone]))
+            own += np.bincount(dst, own[src] * share, n)
+            stay = ~(out[a] | out[b])
+            parts = [(a[stay], b[stay], w[stay])]
+            for k in range(1, DEGREE):
+                same = np.nonzero(src[k:] == src[:-k])[0]
+                if not len(same):
+                    break
+                parts.append((dst[same], dst[same + k], ww[same] * share[same + k]))
+            a, b, w = self.merged(*(np.concatenate(c) for c in zip(*parts)))
+        self.a, self.b, self.w = a, b, w
+
+    def merged(self, a: np.ndarray, b: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        real = (a != b) & (w > 0)
+        key, at = np.unique(np.minimum(a, b)[real] * self.n + np.maximum(a, b)[real], return_inverse=True)
+        return key // max(self.n, 1), key % max(self.n, 1), np.bincount(at, w[real], len(key))
+
+    def solve(self, v: np.ndarray, tolerance: float) -> np.ndarray:
+        v, x = v.copy(), np.zeros(self.n)
+        for _, src, dst, share, _ in self.rounds:
+            v += np.bincount(dst, v[src] * share, self.n)
+        core = np.zeros(self.n, bool)
+        core[self.a] = core[self.b] = True
+        alone = np.ones(self.n, bool)
+        for out, *_ in self.rounds:
+            alone[out] = False
+        tied = alone & ~core & (self.own > 0)
+        x[tied] = v[tied] / self.own[tied]
+        x[core] = self.gradients(np.where(core, v, 0.0), np.where(core, self.own, 0.0), int(core.sum()), tolerance)[core]
+        for out, src, dst, share, total in reversed(self.rounds):
+            x[out] = v[out] / total + np.bincount(src, x[dst] * share, self.n)[out]
+        return x
+
+    def gradients(self, v: np.ndarray, own: np.ndarray, nodes: int, tolerance: float) -> np.ndarray:
+        a, b, w, n = self.a, self.b, self.w, self.n
+
+        def applied(x: np.ndarray) -> np.ndarray:
+            pull = w * (x[b] - x[a])
+            return own * x + np.bincount(b, pull, n) - np.bincount(a, pull, n)
+
+        x, rest = np.zeros(n), v.copy()
+        step, size = rest.copy(), float(rest @ rest)
+        enough = tolerance * max(1.0, size) * tolerance
+        for _ in range(10 * nodes):
+            if size <= enough:
+                break
+            along = applied(step)
+            down = float(step @ along)
+            if down <= 0:
+                break
+            k = size / down
+            x, rest = x + k * step, rest - k * along
+            size, before = float(rest @ rest), size
+            step = rest + size / before * step
+        return x
+
+    def parts(self) -> np.ndarray:
+        """A number for each node, the same for all of one connected part."""
+        part = np.arange(self.n)
+        while len(self.a):
+            low = part.copy()
+            np.minimum.at(low, self.a, part[self.b])
+            np.minimum.at(low, self.b, part[self.a])
+            if (low == part).all():
+                break
+            part = low
+        for _, src, dst, *_ in reversed(self.rounds):
+            part[src] = part[dst]
+        return part
+
+
 def solved_graph(pairs: DataFrame, anchors: DataFrame, tolerance: float = 1e-12) -> dict[int, float]:
     """Offsets of nodes from differences (a, b, d = offset b - offset a, w) and anchors (a, d, w), by least squares.
 
-    For graphs of passes: one edge a pair of passes reaches the driver, and the
-    sparse normal equations are solved by conjugate gradients over those edges. A
-    part without an anchor is laid so that its offsets have mean 0 by weight of start.
+    For graphs of passes: one edge a pair of passes reaches the driver, as columns,
+    and the sparse normal equations are solved by elimination, then once more for
+    what rounding has left. A part without an anchor is laid so that its offsets
+    have mean 0.
     """
-    mean = (F.sum(F.col("w") * F.col("d")) / F.sum("w")).alias("d")
-    edges = pairs.groupBy("a", "b").agg(F.sum("w").alias("w"), mean).collect()
-    held = anchors.groupBy("a").agg(F.sum("w").alias("w"), mean).collect()
-    names = sorted({e.a for e in edges} | {e.b for e in edges} | {h.a for h in held})
-    at = {k: i for i, k in enumerate(names)}
-    a, b = (np.array([at[e[k]] for e in edges], np.int64) for k in ("a", "b"))
-    w, d = (np.array([float(e[k]) for e in edges]) for k in ("w", "d"))
-    own = np.zeros(len(names))
-    v = np.bincount(b, w * d, len(names)) - np.bincount(a, w * d, len(names)) if edges else np.zeros(len(names))
-    for h in held:
-        own[at[h.a]] += h.w
-        v[at[h.a]] += h.w * h.d
-
-    def applied(x: np.ndarray) -> np.ndarray:
-        pull = w * (x[b] - x[a]) if edges else np.zeros(0)
-        return own * x + (np.bincount(b, pull, len(x)) - np.bincount(a, pull, len(x)) if edges else 0.0)
-
-    x, rest = np.zeros(len(names)), v.copy()
-    step, size = rest.copy(), float(rest @ rest)
-    for _ in range(10 * len(names)):
-        if size <= tolerance * max(1.0, float(v @ v)) * tolerance:
-            break
-        along = applied(step)
-        k = size / float(step @ along)
-        x, rest = x + k * step, rest - k * along
-        size, before = float(rest @ rest), size
-        step = rest + size / before * step
-    return dict(zip(names, x.tolist()))
+    mean = (F.sum(F.col("w") * F.col("d")) / F.sum("w")).cast("double").alias("d")
+    weight = F.sum("w").cast("double").alias("w")
+    edges = pairs.groupBy("a", "b").agg(weight, mean).toArrow()
+    held = anchors.groupBy("a").agg(weight, mean).toArrow()
+    column = lambda t, c: t.column(c).combine_chunks().to_numpy(zero_copy_only=False)
+    names = np.unique(np.concatenate([column(edges, "a"), column(edges, "b"), column(held, "a")]))
+    a, b, h = np.searchsorted(names, column(edges, "a")), np.searchsorted(names, column(edges, "b")), np.searchsorted(names, column(held, "a"))
+    w, d, hw, hd = column(edges, "w"), column(edges, "d"), column(held, "w"), column(held, "d")
+    n = len(names)
+    factor = Eliminated(n, a, b, w, np.bincount(h, hw, n))
+    x = np.zeros(n)
+    for _ in range(2):
+        pull, tie = w * (d - (x[b] - x[a])), hw * (hd - x[h])
+        x = x + factor.solve(np.bincount(b, pull, n) - np.bincount(a, pull, n) + np.bincount(h, tie, n), tolerance)
+    part = factor.parts()
+    free = np.bincount(part, np.bincount(h, hw, n), n) == 0
+    middle = np.bincount(part, x, n) / np.maximum(np.bincount(part, minlength=n), 1)
+    x = x - np.where(free, middle, 0.0)[part]
+    return dict(zip(names.tolist(), x.tolist()))

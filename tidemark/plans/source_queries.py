@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from tidemark.operators import areas, fits
@@ -116,7 +117,7 @@ def pass_graph(spark, d):
     pairs = chain.select("a", F.explode(F.array("b1", "b3")).alias("b")).where("b is not null").select("a", "b", (shift("b") - shift("a")).alias("d"), F.lit(1.0).alias("w"))
     first = k.agg(F.min("a").alias("a")).select("a", shift("a").alias("d"), F.lit(1.0).alias("w"))
     found = fits.solved_graph(pairs, first)
-    return spark.createDataFrame([(p, round(v, 6) + 0.0) for p, v in found.items()], "pass_id long, shift double")
+    return spark.createDataFrame(pa.table({"pass_id": pa.array(list(found), pa.int64()), "shift": pa.array([round(v, 6) + 0.0 for v in found.values()], pa.float64())}))
 
 
 @query(f"WITH {EV} SELECT event_type, count(*) AS n, 0.0 AS c0, 0.0 AS c1, 0.0 AS s1, 0.0 AS c2, 0.0 AS s2 FROM e GROUP BY 1")
