@@ -458,3 +458,27 @@ def test_near_duplicates_broadcast_no_table_that_grows(spark):
 def test_one_document_of_a_group_is_kept_without_broadcasts(spark):
     kept = neardup.deduplicated(linked_texts(spark))
     assert broadcasts(kept) == 0
+
+
+def test_long_lines_are_told_apart_where_words_share_a_letter(spark, monkeypatch):
+    """With two letters for all words every pair seems near; the words decide. Texts meet only the pairs that letters leave."""
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(300)]
+    base = [" ".join(rng.sample(words, 30)) for _ in range(12)]
+
+    def edited(line, n):
+        w = line.split()
+        for i in rng.sample(range(30), n):
+            w[i] = f"x{rng.randrange(10**6)}"
+        return " ".join(w)
+
+    rows = [(i, t) for i, t in enumerate([*base, *[edited(t, 3) for t in base], *[edited(t, 4) for t in base]])]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = []
+    for letters in (2, linededup.LETTERS):
+        monkeypatch.setattr(linededup, "LETTERS", letters)
+        got.append({r.doc_id for r in linededup.deduplicated(df, wide=True).where("n_near > 0").collect()})
+    assert got[0] == got[1] and set(range(12, 24)) <= got[0] and not got[0] & set(range(12))
+    words_ = spark.createDataFrame([(k, t, t) for k, t in enumerate(base)], "ref long, line string, letters string")
+    sides = linededup._verified(spark.createDataFrame([(0, 1)], "a long, b long"), words_)
+    assert sides.columns == ["a", "b"] and sides.count() == 0
