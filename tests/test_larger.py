@@ -48,6 +48,16 @@ def test_initial_poses_turn_like_their_sql_at_half_a_turn(both):
     assert got == want
 
 
+def test_initial_poses_of_events_at_one_time_with_one_value(both):
+    got, want = both("initial_poses", events="SELECT i AS event_id, " + EVENTS.format(t="(i//9%50)*100", u="i//450", k="'view'", v="i//9%13") + " FROM (SELECT unnest(range(4500)) AS i)")
+    assert got == want
+
+
+def test_initial_poses_halfway_between_two_thousandths(both):
+    got, want = both("initial_poses", events="SELECT i AS event_id, " + EVENTS.format(t="i%1000*25", u="i//1000", k="'view'", v="(i*i%997)/1000.0") + " FROM (SELECT unnest(range(7000)) AS i)")
+    assert got == want
+
+
 def test_transformed_headings_on_the_border_are_those_of_the_sql(both):
     got, want = both("transformed_poses", events="SELECT i AS event_id, " + EVENTS.format(t="i", u="i%14", k="'view'", v="(17000+i//14)/100.0") + " FROM (SELECT unnest(range(14000)) AS i)")
     assert 180.0 in {r[-1] for r in want} and got == want
