@@ -58,6 +58,17 @@ def test_initial_poses_halfway_between_two_thousandths(both):
     assert got == want
 
 
+@pytest.mark.parametrize("missing", ["user_id", "ts", "value", "all"])
+def test_linear_interpolation_keeps_events_that_lack_something(both, missing):
+    """Pairs of events at one time; some have no user, time or value."""
+    lacking = {"user_id": "i%7=0", "ts": "i%5=0", "value": "i%3=0"}
+    column = lambda c: f"CASE WHEN NOT ({lacking[c] if missing in (c, 'all') else 'false'}) THEN {c} END AS {c}"
+    rows = "SELECT i, i AS event_id, " + EVENTS.format(t="i//2*977", u="i%40//4", k="CASE WHEN i*i%11<5 THEN 'click' ELSE 'view' END", v="i*31%499/10.0") + " FROM (SELECT unnest(range(600)) AS i)"
+    got, want = both("linear_interpolation", events=f"SELECT event_id, {column('ts')}, {column('user_id')}, event_type, {column('value')} FROM ({rows})")
+    clean = lambda rows: sorted([tuple(None if x != x else x for x in r) for r in rows], key=repr)
+    assert clean(got) == clean(want)
+
+
 def test_transformed_headings_on_the_border_are_those_of_the_sql(both):
     got, want = both("transformed_poses", events="SELECT i AS event_id, " + EVENTS.format(t="i", u="i%14", k="'view'", v="(17000+i//14)/100.0") + " FROM (SELECT unnest(range(14000)) AS i)")
     assert 180.0 in {r[-1] for r in want} and got == want

@@ -14,7 +14,7 @@ from tidemark.operators import joins as J
 from tidemark.operators import ordered as O  # noqa: E741
 from tidemark.operators import raster as R
 from tidemark.operators import sampling
-from tidemark.plans.registry import EV, ORACLES, PT, QUERIES, W, query, r
+from tidemark.plans.registry import EV, ORACLES, PT, QUERIES, W, as_sql, query, r
 from tidemark.sources.tables import spatial_points, table, timed_events
 
 # ---- ordered sequences
@@ -82,8 +82,8 @@ q AS (SELECT event_id, CASE WHEN t1 IS NULL THEN 0.0 ELSE (t-t0)/(t1-t0) END AS
 def linear_interpolation(spark, d):
     clicks, _ = _views_and_clicks(spark, d)
     views = timed_events(spark, d).where("event_type = 'view'").select("user_id", "t", "value", O.wrapped(3 * F.col("value")).alias("yaw"))
-    at = O.interpolated(clicks.select("event_id", "user_id", "t"), views, "user_id", "t", ["value"], ["yaw"], 86_400.0)
-    return at.select("event_id", r("value", 3).alias("value"), r("yaw", 3).alias("yaw"))
+    at = O.interpolated(clicks.select("event_id", "user_id", "t"), views, "user_id", "t", ["value"], ["yaw"], 86_400.0, filled=True)
+    return at.select("event_id", as_sql("value", 3).alias("value"), as_sql("yaw", 3).alias("yaw"))
 
 
 @query(f"""WITH {EV}, g AS (SELECT floor(t/86400)::BIGINT AS pass, min(t) AS lo, max(t) AS hi FROM e WHERE event_type='signup' GROUP BY 1), b AS (SELECT pass, (hi + lead(lo) OVER (ORDER BY lo))/2 AS hi, (lag(hi) OVER (ORDER BY lo) + lo)/2 AS lo FROM g)
