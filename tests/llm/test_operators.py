@@ -5,6 +5,7 @@ import itertools
 import math
 import random
 import re
+import zlib
 from collections import Counter
 
 import duckdb
@@ -260,6 +261,27 @@ def test_model_scores_against_whole_dictionaries(spark, monkeypatch, held, share
         assert got[i].n_known == sum(w in known for w in ppm.tokens(t)) + 1 and got[i].held_out == (not learn(i))
 
 
+@pytest.mark.parametrize("held, spread, at_once", [(100_000, 40_000, 2_000_000), (100_000, 8, 20), (4, 40_000, 20), (0, 3, 2_000_000)])
+def test_model_scores_with_every_token_as_context(spark, monkeypatch, held, spread, at_once):
+    """The most frequent tokens too, in more than one batch of texts."""
+    monkeypatch.setattr(ppm, "HELD_WORDS", held), monkeypatch.setattr(ppm, "SPREAD", spread), monkeypatch.setattr(ppm, "JUDGED_AT_ONCE", at_once), monkeypatch.setattr(ppm, "BATCH_ROWS", 16)
+    rng = random.Random(7)
+    vocabulary = ["the", "then", "there", "cat", "cats", "a", "é", "x" * 300]
+    rows = [(i, " ".join(rng.choices(vocabulary, [20, 3, 3, 2, 1, 9, 1, 1], k=rng.randrange(20)))) for i in range(80)]
+    rows += [(81, "the unseen the unseen the"), (86, "cats catsup the the the the"), (91, None), (96, "é é the then")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    learn = lambda i: zlib.crc32(str(i).encode()) % 5 != 1
+    order = Counter(w for _, t in rows for w in ppm.tokens(t))
+    size = lambda n: n.bit_length() * 16 + (n >> max(0, n.bit_length() - 4))
+    top = {w for w in order if sum(size(n) >= size(order[w]) for n in order.values()) <= held}
+    known = {w for i, t in rows if learn(i) for w in ppm.tokens(t)}
+    got = {r.doc_id: r for r in ppm.scored(df).collect()}
+    assert len(got) == len(rows)
+    for i, t in rows:
+        assert abs(got[i].score - ppm_by_hand(rows, learn, t, top, set())) < 1e-6, (i, t)
+        assert got[i].n_known == sum(w in known for w in ppm.tokens(t)) + 1 and got[i].held_out == (not learn(i))
+
+
 def test_words_of_a_million_bytes(spark):
     rows = [(i, f"{'ab' * 500_000}{i}") for i in (2, 3)] + [(4, "q" + "ba" * 500_000)]
     got = ppm.scored(spark.createDataFrame(rows, "doc_id long, text string")).collect()
