@@ -5,15 +5,17 @@ import itertools
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.llm import decontaminate, fingerprints, langid, linededup, neardup, ppm, secretscan, sentencepieces, toxicity, urlrules
-from tidemark.llm.common import table
+from tidemark.llm.common import checkpointed, released, table
 
 SF = "/root/testdata/sf0.001"
 ODD = [(5, "a b c d e f"), (1, "é" * 3000 + " b"), (2, None), (9, ""), (9, ""), (7, "..."), (3, "a b c d e f"), (None, "x y")]
@@ -375,6 +377,24 @@ def test_line_dedup_against_brute_force(spark, docs):
         assert got[d] == (sum(a == d for a, _ in copies), sum(a == d for a, _ in near), want)
 
 
+def test_shuffles_of_a_written_table_are_dropped(spark):
+    """The last query's, too, of which the session keeps the plan."""
+    files = lambda: {b.toString() for b in _all(spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks()) if "shuffle" in b.toString()}
+    before = files()
+    checkpointed(spark.range(1000).repartition("id").groupBy((F.col("id") % 7).alias("k")).count())
+    assert files() - before
+    released(spark)
+    for _ in range(50):
+        if not files() - before:
+            break
+        time.sleep(0.1)
+    assert not files() - before
+
+
+def _all(found):
+    return [found.apply(i) for i in range(found.size())]
+
+
 def test_wide_line_dedup_against_brute_force(spark):
     rng = random.Random(10)
     vocabulary = [f"w{i}" for i in range(400)]
