@@ -433,6 +433,50 @@ def test_wide_line_dedup_against_brute_force(spark):
     assert sum(want) > sum(r.n_near for r in linededup.deduplicated(df).collect())
 
 
+def join_rows(df) -> list:
+    """Rows that came out of each join of the plan that was run."""
+    df.collect()
+    out, todo = [], [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        name = node.nodeName()
+        if "Join" in name:
+            out.append(node.metrics().apply("numOutputRows").value())
+        todo += [node.executedPlan()] if name == "AdaptiveSparkPlan" else [node.plan()] if "QueryStage" in name else _all(node.children())
+    return out
+
+
+def test_unlike_copies_of_one_line_are_not_joined_with_each_other(spark, monkeypatch):
+    """Copies of a long line that each have 15 other words: all but two are further from each other than the bound, though they share most words."""
+    rng = random.Random(12)
+    base = [f"word{i}" + "x" * rng.randrange(9) for i in range(200)]
+    texts = []
+    for k in range(120):
+        w = list(base)
+        for i in rng.sample(range(200), 15):
+            w[i] = f"{k}other{i}"
+        texts.append(" ".join(w))
+    texts.append(texts[50].replace(" word7", " word8", 1))
+    most, write = [], linededup.checkpointed
+    monkeypatch.setattr(linededup, "checkpointed", lambda df: most.extend(join_rows(df)) or write(df))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert [r.doc_id for r in linededup.deduplicated(df, wide=True).where("n_near > 0").collect()] == [120]
+    # a row for each line and pair of words at most, not one for each pair of lines
+    assert max(most) <= len(texts) * (2 * 22 + 1)
+
+
+def test_unlike_long_lines_are_not_verified(spark, monkeypatch):
+    """Lines of 250 words that share a long one and have as many words, but are unlike otherwise."""
+    rng = random.Random(13)
+    vocabulary = [f"w{i}" for i in range(600)]
+    texts = [" ".join(["longer" * 5, *rng.choices(vocabulary, k=249)]) for _ in range(60)]
+    pairs, verify = [], linededup._verified
+    monkeypatch.setattr(linededup, "_verified", lambda found, texts: pairs.append(found.count()) or verify(found, texts))
+    df = spark.createDataFrame(list(enumerate([*texts, texts[3] + " w0"])), "doc_id long, text string")
+    assert [r.doc_id for r in linededup.deduplicated(df, wide=True).where("n_near > 0").collect()] == [60]
+    assert sum(pairs) <= len(texts)
+
+
 # the pipeline
 
 
